@@ -27,11 +27,13 @@ from loamworks.llm.common import cut_lineage, shuffle_partitions
 
 SKETCH_BITS = 20
 SKETCH_BLOCK = 1 << 16
-#: Groups of each level; level i serves pairs whose least overlap reaches 2 m + 1 but not that of the level before.
-LEVELS = (24, 6, 1, 0)
+#: Groups of each level; a level serves pairs whose least overlap reaches 2 m + 1 but not that of the level before.
+LEVELS = (*(6 * 4**i for i in range(9, -1, -1)), 1, 0)
 #: A pair of shingles is a key by itself if chance would let fewer texts than this share it.
 RARE = 0.1
-KEY_BITS = 36
+#: Texts whose keys are made at a time, and ids up to which a semi-join sends them to every task instead of shuffling texts.
+AT_ONCE = 2000
+FEW_IDS = 1_000_000
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 NEW, OLD = 1, 2
 
@@ -115,10 +117,11 @@ def join_keys(offsets: np.ndarray, hashes: np.ndarray, counts: np.ndarray, texts
             keep = pos < prefix[doc]
             for d, key, p in _grams(order[keep], pos[keep], m, texts):
                 out.append((d + at, key, p))
-            above = least
+            above = min(above, least)
     if not out:
         return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)
-    return tuple(np.concatenate(x) for x in zip(*out))
+    doc, key, pos = (np.concatenate(x) for x in zip(*out))
+    return doc, key, pos
 
 
 def _grams(order: np.ndarray, pos: np.ndarray, m: int, texts: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -155,36 +158,40 @@ def _grams(order: np.ndarray, pos: np.ndarray, m: int, texts: int) -> Iterator[t
 
 
 def pack(part_of: int, docs: tuple[np.ndarray, ...], doc: np.ndarray, key: np.ndarray, pos: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """The keys of some sets as one compact block for each part of the key space."""
+    """The keys of some sets as one compact block for each part of the key space: sets, then the keys of each set.
+
+    A key is stored by 32 bits within its part, its position by sixteenths of the set.
+    """
     ids, sizes, sides = docs
-    part = ((key >> np.uint64(KEY_BITS)) % np.uint64(part_of)).astype(np.int64)
-    short = key & np.uint64((1 << KEY_BITS) - 1)
-    for sub in range(0, len(ids), 1 << 16):
-        mine = (doc >= sub) & (doc < sub + (1 << 16)) if len(ids) > 1 << 16 else slice(None)
-        p, s, d, q = part[mine], short[mine], doc[mine] - sub, np.minimum(pos[mine], 255)
-        by = np.argsort((p.astype(np.uint64) << np.uint64(KEY_BITS)) | s)
-        p, s, d, q = p[by], s[by], d[by], q[by]
-        edges = np.searchsorted(p, np.arange(part_of + 1))
-        for x in np.flatnonzero(np.diff(edges)):
-            lo, hi = edges[x], edges[x + 1]
-            here, local = np.unique(d[lo:hi], return_inverse=True)
-            step = np.diff(s[lo:hi], prepend=np.uint64(0))
-            wide = bool((step >> np.uint64(32)).any())
-            head = np.array([len(here), hi - lo, wide], np.int64)
-            yield int(x), b"".join(
-                (head.tobytes(), ids[sub + here].tobytes(), sizes[sub + here].astype(np.int32).tobytes(), sides[sub + here].astype(np.uint8).tobytes(), step.astype(np.uint64 if wide else np.uint32).tobytes(), local.astype(np.uint16).tobytes(), q.astype(np.uint8)[lo:hi].tobytes())
-            )
+    part = ((key >> np.uint64(32)) % np.uint64(part_of)).astype(np.int64)
+    by = np.argsort(part * len(ids) + doc, kind="stable")
+    part, doc = part[by], doc[by]
+    short = (key & np.uint64(0xFFFFFFFF)).astype(np.uint32)[by]
+    where = (pos[by] * 16 // sizes[doc]).astype(np.uint8)
+    edges = np.searchsorted(part, np.arange(part_of + 1))
+    for x in np.flatnonzero(np.diff(edges)):
+        lo, hi = edges[x], edges[x + 1]
+        first = np.flatnonzero(np.concatenate(([True], doc[lo + 1 : hi] != doc[lo : hi - 1])))
+        here, count = doc[lo:hi][first], np.diff(np.append(first, hi - lo))
+        size = sizes[here] * 4 + sides[here]
+        wide = bool(size.max() >> 16 or count.max() >> 16)
+        kind = np.uint32 if wide else np.uint16
+        q = np.append(where[lo:hi], np.zeros((hi - lo) % 2, np.uint8))
+        head = np.array([len(here), hi - lo, wide], np.int64)
+        yield int(x), b"".join(y.tobytes() for y in (head, ids[here], size.astype(kind), count.astype(kind), short[lo:hi], q[::2] << 4 | q[1::2]))
 
 
 def unpack(block: bytes) -> tuple[np.ndarray, ...]:
-    """(class, size, side, key, position) of each key of a block."""
+    """(class, size, side, key, sixteenth of the position) of each key of a block."""
     docs, keys, wide = np.frombuffer(block, np.int64, 3)
+    kind = np.uint32 if wide else np.uint16
     at, out = 24, []
-    for kind, count in ((np.int64, docs), (np.int32, docs), (np.uint8, docs), (np.uint64 if wide else np.uint32, keys), (np.uint16, keys), (np.uint8, keys)):
-        out.append(np.frombuffer(block, kind, count, at))
+    for what, n in ((np.int64, docs), (kind, docs), (kind, docs), (np.uint32, keys), (np.uint8, (keys + 1) // 2)):
+        out.append(np.frombuffer(block, what, n, at))
         at += out[-1].nbytes
-    ids, sizes, sides, step, local, pos = out
-    return ids[local], sizes[local], sides[local], np.cumsum(step.astype(np.uint64)), pos
+    ids, size, count, key, q = out
+    q = np.stack((q >> 4, q & 15), axis=1).reshape(-1)[:keys]
+    return np.repeat(ids, count), np.repeat((size >> 2).astype(np.int32), count), np.repeat((size & 3).astype(np.uint8), count), key, q
 
 
 def meeting_pairs(cls: np.ndarray, n: np.ndarray, side: np.ndarray, key: np.ndarray, pos: np.ndarray, t: float) -> Iterator[np.ndarray]:
@@ -199,6 +206,8 @@ def meeting_pairs(cls: np.ndarray, n: np.ndarray, side: np.ndarray, key: np.ndar
     start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     length = np.diff(np.append(start, len(key)))
     end = np.repeat(start + length, length)
+    last = np.minimum(n - 1, ((pos + 1) * n + 15) // 16)
+    left = n - 1 - pos * n // 16
     i = np.flatnonzero(np.repeat(length, length) > 1)
     found: list[np.ndarray] = []
     held, step = 0, 0
@@ -206,10 +215,8 @@ def meeting_pairs(cls: np.ndarray, n: np.ndarray, side: np.ndarray, key: np.ndar
         step += 1
         i = i[i + step < end[i]]
         j = i + step
-        p, q = pos[i], pos[j]
-        both = n[i] + n[j]
-        need = np.ceil(t / (1 + t) * both - 1e-9)
-        bound = np.where((p < 255) & (q < 255), np.minimum(p, q) + 1 + np.minimum(n[i] - p, n[j] - q) - 1, np.minimum(n[i], n[j]))
+        need = np.ceil(t / (1 + t) * (n[i] + n[j]) - 1e-9)
+        bound = np.minimum(last[i], last[j]) + 1 + np.minimum(left[i], left[j])
         ok = (np.minimum(n[i], n[j]) >= t * np.maximum(n[i], n[j]) - 1e-9) & (bound >= need) & ((side[i] | side[j]) & NEW > 0)
         found.append(np.stack((cls[i[ok]], cls[j[ok]]), axis=1))
         held += int(ok.sum())
@@ -241,12 +248,12 @@ def similar_texts(texts: DataFrame, threshold: float = 0.8, k: int = 5, *, parts
 
     texts: (id long, text string, side int); side NEW for rows to be compared with everything, OLD for rows that are
     compared with new ones only. Ids must be unique. Null, empty and too short texts belong to no class and no pair.
-    parts: parts of the key space, by default four for each shuffle partition; memory of a task goes down with it.
+    parts: parts of the key space, by default three for two shuffle partitions; memory of a task goes down with it.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
     spark = texts.sparkSession
-    parts = parts or 4 * shuffle_partitions(spark)
+    parts = parts or 3 * shuffle_partitions(spark) // 2
     texts = texts.select(F.col("id").cast("long"), F.col("text"), F.col("side").cast("int"))
     profile = texts.mapInArrow(lambda it: _profile(it, k), "class long, id long, side int, n int, bits binary, block int").persist()
     blocks = profile.where("block is not null").select("block", "bits").groupBy("block").applyInArrow(_sum_block, "block int, bits binary").collect()
@@ -269,9 +276,13 @@ def similar_texts(texts: DataFrame, threshold: float = 0.8, k: int = 5, *, parts
             sides = sides[1:] if print_of[order[0]] == 0 else sides
             one = order[first]
             sizes = np.diff(offsets)[one]
-            picked = np.concatenate([h[offsets[i] : offsets[i + 1]] for i in one])
-            doc, key, pos = join_keys(np.concatenate(([0], np.cumsum(sizes))), picked, ranks.value, total, threshold)
-            rows = list(pack(parts, (print_of[one].view(np.int64), sizes, sides), doc, key, pos))
+            made = []
+            for at in range(0, len(one), AT_ONCE):
+                some = one[at : at + AT_ONCE]
+                picked = np.concatenate([h[offsets[i] : offsets[i + 1]] for i in some])
+                doc, key, pos = join_keys(np.concatenate(([0], np.cumsum(sizes[at : at + AT_ONCE]))), picked, ranks.value, total, threshold)
+                made.append(((doc + at).astype(np.int32), key, pos.astype(np.int32)))
+            rows = list(pack(parts, (print_of[one].view(np.int64), sizes, sides), *(np.concatenate(x) for x in zip(*made))))
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["part", "block"])
 
     def meet(table: pa.Table) -> pa.Table:
@@ -289,6 +300,7 @@ def similar_texts(texts: DataFrame, threshold: float = 0.8, k: int = 5, *, parts
         met.join(side("a"), "class_a").join(side("b"), "class_b").where(apart <= F.floor((1 - t) / (1 + t) * (F.col("n_a") + F.col("n_b")) + 1e-9)).select("class_a", "class_b", "id_a", "id_b")
     )
     wanted = candidates.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
+    wanted = F.broadcast(wanted) if wanted.count() <= FEW_IDS else wanted
     bodies = texts.select("id", "text").join(wanted, "id", "left_semi")
     body = lambda x: bodies.select(F.col("id").alias(f"id_{x}"), F.col("text").alias(f"text_{x}"))
 

@@ -14,6 +14,7 @@ BITS = 50
 _MASK = np.uint64((1 << BITS) - 1)
 _BASE = 0x9E3779B97F4A7C15
 _BATCH = 1 << (64 - BITS)
+_CHARS = 1 << 20
 
 
 @functools.cache
@@ -47,7 +48,20 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the text, hash) of each word, in reading order."""
+    """(index of the text, hash) of each word, in reading order; works through about _CHARS characters at a time."""
+    at, held, out = 0, 0, []
+    for i, x in enumerate(texts):
+        held += len(x or "")
+        if held >= _CHARS or i == len(texts) - 1:
+            doc, word = _word_hashes(texts[at : i + 1])
+            out.append((doc + at, word))
+            at, held = i + 1, 0
+    if not out:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
+
+
+def _word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     joined = "\n".join(x or "" for x in texts)
     codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
     if not len(codes):
