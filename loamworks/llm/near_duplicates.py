@@ -27,10 +27,11 @@ from loamworks.llm.common import cut_lineage, shuffle_partitions
 
 SKETCH_BITS = 20
 SKETCH_BLOCK = 1 << 16
-#: Groups of each level; a level serves pairs whose least overlap reaches 2 m + 1 but not that of the level before.
-LEVELS = (*(6 * 4**i for i in range(9, -1, -1)), 1, 0)
-#: A pair of shingles is a key by itself if chance would let fewer texts than this share it.
-RARE = 0.1
+#: (groups m, least overlap served) of each level; a level serves the pairs up to the least overlap of the one before.
+#: About three shared shingles for each group keep the most frequent shingles of a text out of its keys.
+LEVELS = (*((round(4 * 2.5**i), round(12.4 * 2.5**i)) for i in range(13, -1, -1)), (1, 3), (0, 1))
+#: A pair of shingles is a key by itself if chance lets at most so many texts share it, whatever the size of the corpus.
+RARE = 0.7
 #: Texts whose keys are made at a time, and ids up to which a semi-join sends them to every task instead of shuffling texts.
 AT_ONCE = 2000
 FEW_IDS = 1_000_000
@@ -66,24 +67,22 @@ def _profile(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBat
         offsets, h = S.shingles(batch["text"].to_pylist(), k)
         counts += np.bincount((h & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64), minlength=len(counts))
         some = np.flatnonzero(np.diff(offsets) > 0)
-        marks = bitmaps(offsets, h)[some]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(S.fingerprints(offsets, h).view(np.int64)[some]),
                 batch["id"].take(pa.array(some)),
                 batch["side"].take(pa.array(some)),
-                pa.array(np.diff(offsets)[some].astype(np.int32)),
-                pa.array([x.tobytes() for x in marks], pa.binary()),
+                pa.nulls(len(some), pa.binary()),
                 pa.nulls(len(some), pa.int32()),
             ],
-            names=["class", "id", "side", "n", "bits", "block"],
+            names=["class", "id", "side", "bits", "block"],
         )
     for at in range(0, len(counts), SKETCH_BLOCK):
         part = counts[at : at + SKETCH_BLOCK]
         if part.any():
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary()), pa.array([at // SKETCH_BLOCK], pa.int32())],
-                names=["class", "id", "side", "n", "bits", "block"],
+                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary()), pa.array([at // SKETCH_BLOCK], pa.int32())],
+                names=["class", "id", "side", "bits", "block"],
             )
 
 
@@ -92,12 +91,12 @@ def _sum_block(table: pa.Table) -> pa.Table:
     return pa.table({"block": table["block"].slice(0, 1), "bits": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
 
 
-def join_keys(offsets: np.ndarray, hashes: np.ndarray, counts: np.ndarray, texts: int, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(index of the set, key, position of the key's last shingle) of every join key of these sets.
+def join_keys(offsets: np.ndarray, hashes: np.ndarray, counts: np.ndarray, texts: int, t: float) -> tuple[np.ndarray, ...]:
+    """(index of the set, key, key's first shingle, position of its last shingle) of every join key of these sets.
 
     counts: a count for each value of the lowest SKETCH_BITS bits, from the whole corpus of so many texts.
     """
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    out: list[tuple[np.ndarray, ...]] = []
     size = np.diff(offsets)
     for at in range(0, len(size), S._BATCH):
         n = size[at : at + S._BATCH]
@@ -110,27 +109,25 @@ def join_keys(offsets: np.ndarray, hashes: np.ndarray, counts: np.ndarray, texts
         pos = np.arange(len(order)) - np.repeat(np.cumsum(n) - n, n)
         share = least_overlap(t, n)
         above = np.iinfo(np.int64).max
-        for m in LEVELS:
-            least = 2 * m + 1
-            use = (n >= least) & (share < above) if m else (n >= 1) & (share < above)
-            prefix = np.where(use, np.minimum(n, n - share + least), 0)
+        for m, low_end in LEVELS:
+            use = (n >= low_end) & (share < above)
+            prefix = np.where(use, np.minimum(n, n - np.maximum(share, low_end) + 2 * m + 1), 0)
             keep = pos < prefix[doc]
-            for d, key, p in _grams(order[keep], pos[keep], m, texts):
-                out.append((d + at, key, p))
-            above = min(above, least)
+            for d, *x in _grams(order[keep], pos[keep], m, texts):
+                out.append((d + at, *x))
+            above = low_end
     if not out:
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)
-    doc, key, pos = (np.concatenate(x) for x in zip(*out))
-    return doc, key, pos
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _grams(order: np.ndarray, pos: np.ndarray, m: int, texts: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _grams(order: np.ndarray, pos: np.ndarray, m: int, texts: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Keys of one level from (set, rank, hash) values in order."""
     low = S.BITS - 8
     value = S.mix((order & S._MASK) + np.uint64(m))
     doc = (order >> np.uint64(S.BITS)).astype(np.int64)
     if m == 0:
-        yield doc, value, pos
+        yield doc, value, value, pos
         return
     group = doc * m + ((order >> np.uint64(17)) % np.uint64(m)).astype(np.int64) if m > 1 else doc
     if m > 1:
@@ -146,7 +143,7 @@ def _grams(order: np.ndarray, pos: np.ndarray, m: int, texts: int) -> Iterator[t
         j = i + a
         pair = S.mix(value[i] * _STEP + value[j])
         rare = often[i] * often[j] <= RARE * texts
-        yield group[i[rare]] // m, pair[rare], pos[j[rare]]
+        yield group[i[rare]] // m, pair[rare], value[i[rare]], pos[j[rare]]
         i, j, pair = i[~rare], j[~rare], pair[~rare]
         for b in range(1, int(length.max(initial=0)) - a):
             more = j + b < end[i]
@@ -154,20 +151,19 @@ def _grams(order: np.ndarray, pos: np.ndarray, m: int, texts: int) -> Iterator[t
                 break
             i, j, pair = i[more], j[more], pair[more]
             last = j + b
-            yield group[i] // m, S.mix(pair * _STEP + value[last]), pos[last]
+            yield group[i] // m, S.mix(pair * _STEP + value[last]), value[i], pos[last]
 
 
-def pack(part_of: int, docs: tuple[np.ndarray, ...], doc: np.ndarray, key: np.ndarray, pos: np.ndarray) -> Iterator[tuple[int, bytes]]:
+def pack(part_of: int, docs: tuple[np.ndarray, ...], doc: np.ndarray, key: np.ndarray, part: np.ndarray, pos: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """The keys of some sets as one compact block for each part of the key space: sets, then the keys of each set.
 
-    A key is stored by 32 bits within its part, its position by sixteenths of the set.
+    Keys with the same first shingle share a part, so a set is in few parts however many there are. A key is stored by
+    32 bits within its part, its position by sixteenths of the set; collisions only make candidates.
     """
-    ids, sizes, sides = docs
-    part = ((key >> np.uint64(32)) % np.uint64(part_of)).astype(np.int64)
+    ids, sizes, sides, bits = docs
     by = np.argsort(part * len(ids) + doc, kind="stable")
     part, doc = part[by], doc[by]
-    short = (key & np.uint64(0xFFFFFFFF)).astype(np.uint32)[by]
-    where = (pos[by] * 16 // sizes[doc]).astype(np.uint8)
+    short, where = key[by], (pos[by] * 16 // sizes[doc]).astype(np.uint8)
     edges = np.searchsorted(part, np.arange(part_of + 1))
     for x in np.flatnonzero(np.diff(edges)):
         lo, hi = edges[x], edges[x + 1]
@@ -178,53 +174,65 @@ def pack(part_of: int, docs: tuple[np.ndarray, ...], doc: np.ndarray, key: np.nd
         kind = np.uint32 if wide else np.uint16
         q = np.append(where[lo:hi], np.zeros((hi - lo) % 2, np.uint8))
         head = np.array([len(here), hi - lo, wide], np.int64)
-        yield int(x), b"".join(y.tobytes() for y in (head, ids[here], size.astype(kind), count.astype(kind), short[lo:hi], q[::2] << 4 | q[1::2]))
+        yield int(x), b"".join(y.tobytes() for y in (head, ids[here], bits[here], size.astype(kind), count.astype(kind), short[lo:hi], q[::2] << 4 | q[1::2]))
 
 
 def unpack(block: bytes) -> tuple[np.ndarray, ...]:
-    """(class, size, side, key, sixteenth of the position) of each key of a block."""
+    """(class, bitmap, size, side) of the sets of a block; (index of the set, key, sixteenth of the position) of its keys."""
     docs, keys, wide = np.frombuffer(block, np.int64, 3)
     kind = np.uint32 if wide else np.uint16
     at, out = 24, []
-    for what, n in ((np.int64, docs), (kind, docs), (kind, docs), (np.uint32, keys), (np.uint8, (keys + 1) // 2)):
+    for what, n in ((np.int64, docs), (np.uint64, 4 * docs), (kind, docs), (kind, docs), (np.uint32, keys), (np.uint8, (keys + 1) // 2)):
         out.append(np.frombuffer(block, what, n, at))
         at += out[-1].nbytes
-    ids, size, count, key, q = out
+    ids, bits, size, count, key, q = out
     q = np.stack((q >> 4, q & 15), axis=1).reshape(-1)[:keys]
-    return np.repeat(ids, count), np.repeat((size >> 2).astype(np.int32), count), np.repeat((size & 3).astype(np.uint8), count), key, q
-
-
-def meeting_pairs(cls: np.ndarray, n: np.ndarray, side: np.ndarray, key: np.ndarray, pos: np.ndarray, t: float) -> Iterator[np.ndarray]:
-    """Pairs of classes that meet in a key and pass the length and the positional filter, as rows (a, b) with a < b."""
-    by = np.lexsort((cls, key))
-    cls, n, side, key, pos = cls[by], n[by].astype(np.int64), side[by], key[by], pos[by].astype(np.int64)
-    if not len(key):
-        return
-    new = np.concatenate(([True], (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])))
-    side = np.bitwise_or.reduceat(side, np.flatnonzero(new))
-    cls, n, key, pos = cls[new], n[new], key[new], pos[new]
+    return ids, bits.reshape(-1, 4), (size >> 2).astype(np.int64), (size & 3).astype(np.uint8), np.repeat(np.arange(docs), count), key, q
+
+
+def meeting_pairs(blocks: list[bytes], t: float) -> np.ndarray:
+    """Pairs (a, b), a < b, of classes that meet in a key and pass the length, the positional and the suffix filter."""
+    sets, keys, held = [], [], 0
+    for x in blocks:
+        ids, bits, n, side, doc, key, q = unpack(x)
+        sets.append((ids, bits, n, side))
+        keys.append((key.astype(np.uint64) << np.uint64(32)) | ((doc + held).astype(np.uint64) << np.uint64(4)) | q)
+        held += len(ids)
+    ids, bits, n, side = (np.concatenate(x) for x in zip(*sets))
+    ids, first, same = np.unique(ids, return_index=True, return_inverse=True)
+    bits, n = bits[first], n[first]
+    sides = np.zeros(len(ids), np.uint8)
+    np.bitwise_or.at(sides, same, side)
+    key = np.concatenate(keys)
+    doc = same[(key >> np.uint64(4) & np.uint64((1 << 28) - 1)).astype(np.int64)]
+    key = np.sort((key & ~np.uint64(((1 << 28) - 1) << 4)) | (doc.astype(np.uint64) << np.uint64(4)))
+    key = key[np.concatenate(([True], key[1:] >> np.uint64(4) != key[:-1] >> np.uint64(4)))]
+    doc, pos = (key >> np.uint64(4) & np.uint64((1 << 28) - 1)).astype(np.int64), (key & np.uint64(15)).astype(np.int64)
+    key = key >> np.uint64(32)
     start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     length = np.diff(np.append(start, len(key)))
-    end = np.repeat(start + length, length)
-    last = np.minimum(n - 1, ((pos + 1) * n + 15) // 16)
-    left = n - 1 - pos * n // 16
     i = np.flatnonzero(np.repeat(length, length) > 1)
-    found: list[np.ndarray] = []
-    held, step = 0, 0
+    end = np.repeat(start + length, length)
+    out: list[np.ndarray] = []
+    step = 0
     while len(i):
         step += 1
         i = i[i + step < end[i]]
-        j = i + step
-        need = np.ceil(t / (1 + t) * (n[i] + n[j]) - 1e-9)
-        bound = np.minimum(last[i], last[j]) + 1 + np.minimum(left[i], left[j])
-        ok = (np.minimum(n[i], n[j]) >= t * np.maximum(n[i], n[j]) - 1e-9) & (bound >= need) & ((side[i] | side[j]) & NEW > 0)
-        found.append(np.stack((cls[i[ok]], cls[j[ok]]), axis=1))
-        held += int(ok.sum())
-        if held > 2_000_000:
-            yield np.unique(np.concatenate(found), axis=0)
-            found, held = [], 0
-    if held:
-        yield np.unique(np.concatenate(found), axis=0)
+        for at in range(0, len(i), 1 << 20):
+            u = i[at : at + (1 << 20)]
+            v = u + step
+            a, b, p, q = doc[u], doc[v], pos[u], pos[v]
+            x, y = n[a], n[b]
+            need = np.ceil(t / (1 + t) * (x + y) - 1e-9)
+            last = np.minimum(np.minimum(x - 1, ((p + 1) * x + 15) // 16), np.minimum(y - 1, ((q + 1) * y + 15) // 16))
+            left = np.minimum(x - 1 - p * x // 16, y - 1 - q * y // 16)
+            ok = (np.minimum(x, y) >= t * np.maximum(x, y) - 1e-9) & (last + 1 + left >= need) & ((sides[a] | sides[b]) & NEW > 0)
+            pair = np.unique(a[ok] << 32 | b[ok])
+            a, b = pair >> 32, pair & 0xFFFFFFFF
+            apart = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1)
+            out.append(pair[apart <= np.floor((1 - t) / (1 + t) * (n[a] + n[b]) + 1e-9)])
+    pair = np.unique(np.concatenate(out)) if out else np.empty(0, np.int64)
+    return np.stack((ids[pair >> 32], ids[pair & 0xFFFFFFFF]), axis=1)
 
 
 def similarities(a: list[str], b: list[str], k: int) -> np.ndarray:
@@ -248,19 +256,19 @@ def similar_texts(texts: DataFrame, threshold: float = 0.8, k: int = 5, *, parts
 
     texts: (id long, text string, side int); side NEW for rows to be compared with everything, OLD for rows that are
     compared with new ones only. Ids must be unique. Null, empty and too short texts belong to no class and no pair.
-    parts: parts of the key space, by default three for two shuffle partitions; memory of a task goes down with it.
+    parts: parts of the key space, by default one for each shuffle partition; memory of a task goes down with it.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
     spark = texts.sparkSession
-    parts = parts or 3 * shuffle_partitions(spark) // 2
+    parts = parts or shuffle_partitions(spark)
     texts = texts.select(F.col("id").cast("long"), F.col("text"), F.col("side").cast("int"))
-    profile = texts.mapInArrow(lambda it: _profile(it, k), "class long, id long, side int, n int, bits binary, block int").persist()
+    profile = texts.mapInArrow(lambda it: _profile(it, k), "class long, id long, side int, bits binary, block int").persist()
     blocks = profile.where("block is not null").select("block", "bits").groupBy("block").applyInArrow(_sum_block, "block int, bits binary").collect()
     counts = np.zeros(1 << SKETCH_BITS, np.int64)
     for row in blocks:
         counts[row["block"] * SKETCH_BLOCK : (row["block"] + 1) * SKETCH_BLOCK] = np.frombuffer(zlib.decompress(bytes(row["bits"])), np.int64)
-    classes = profile.where("block is null").select("class", "id", "side", "n", "bits")
+    classes = profile.where("block is null").select("class", "id", "side")
     total = classes.count()
     ranks = spark.sparkContext.broadcast(np.minimum(255, 8 * np.log2(1 + counts)).astype(np.uint8))
 
@@ -276,29 +284,25 @@ def similar_texts(texts: DataFrame, threshold: float = 0.8, k: int = 5, *, parts
             sides = sides[1:] if print_of[order[0]] == 0 else sides
             one = order[first]
             sizes = np.diff(offsets)[one]
-            made = []
+            made, bits = [], []
             for at in range(0, len(one), AT_ONCE):
                 some = one[at : at + AT_ONCE]
                 picked = np.concatenate([h[offsets[i] : offsets[i + 1]] for i in some])
-                doc, key, pos = join_keys(np.concatenate(([0], np.cumsum(sizes[at : at + AT_ONCE]))), picked, ranks.value, total, threshold)
-                made.append(((doc + at).astype(np.int32), key, pos.astype(np.int32)))
-            rows = list(pack(parts, (print_of[one].view(np.int64), sizes, sides), *(np.concatenate(x) for x in zip(*made))))
+                ends = np.concatenate(([0], np.cumsum(sizes[at : at + AT_ONCE])))
+                doc, key, lead, pos = join_keys(ends, picked, ranks.value, total, threshold)
+                made.append(((doc + at).astype(np.int32), key.astype(np.uint32), (lead >> np.uint64(24)).astype(np.int64) % parts, pos.astype(np.int32)))
+                bits.append(bitmaps(ends, picked))
+            rows = list(pack(parts, (print_of[one].view(np.int64), sizes, sides, np.concatenate(bits)), *(np.concatenate(x) for x in zip(*made))))
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["part", "block"])
 
     def meet(table: pa.Table) -> pa.Table:
-        columns = [np.concatenate(x) for x in zip(*(unpack(x) for x in table["block"].to_pylist()))]
-        found = list(meeting_pairs(*columns, threshold))
-        both = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
+        both = meeting_pairs(table["block"].to_pylist(), threshold)
         return pa.table({"class_a": both[:, 0], "class_b": both[:, 1]})
 
     met = texts.mapInArrow(keys, "part int, block binary").groupBy("part").applyInArrow(meet, "class_a long, class_b long").distinct()
-    one = classes.groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
-    side = lambda x: one.select(F.col("class").alias(f"class_{x}"), F.col("id").alias(f"id_{x}"), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
-    t = float(threshold)
-    apart = F.expr("aggregate(sequence(1, 4), 0L, (s, i) -> s + bit_count(cast(conv(hex(substring(bits_a, i * 8 - 7, 8)), 16, -10) as bigint) ^ cast(conv(hex(substring(bits_b, i * 8 - 7, 8)), 16, -10) as bigint)))")
-    candidates = cut_lineage(
-        met.join(side("a"), "class_a").join(side("b"), "class_b").where(apart <= F.floor((1 - t) / (1 + t) * (F.col("n_a") + F.col("n_b")) + 1e-9)).select("class_a", "class_b", "id_a", "id_b")
-    )
+    one = classes.groupBy("class").agg(F.min("id").alias("id"))
+    side = lambda x: one.select(F.col("class").alias(f"class_{x}"), F.col("id").alias(f"id_{x}"))
+    candidates = cut_lineage(met.join(side("a"), "class_a").join(side("b"), "class_b"))
     wanted = candidates.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
     wanted = F.broadcast(wanted) if wanted.count() <= FEW_IDS else wanted
     bodies = texts.select("id", "text").join(wanted, "id", "left_semi")
@@ -309,7 +313,7 @@ def similar_texts(texts: DataFrame, threshold: float = 0.8, k: int = 5, *, parts
             value = similarities(batch["text_a"].to_pylist(), batch["text_b"].to_pylist(), k)
             yield pa.RecordBatch.from_arrays([batch["class_a"], batch["class_b"], pa.array(value)], names=["class_a", "class_b", "similarity"])
 
-    links = candidates.join(body("a"), "id_a").join(body("b"), "id_b").mapInArrow(verify, "class_a long, class_b long, similarity double").where(F.col("similarity") >= t - 1e-12)
+    links = candidates.join(body("a"), "id_a").join(body("b"), "id_b").mapInArrow(verify, "class_a long, class_b long, similarity double").where(F.col("similarity") >= threshold - 1e-12)
     return SimilarTexts(classes.select("class", "id", "side"), links)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamworks.llm import encoding, history, near_duplicates, packing, repeated_lines
+from loamworks.llm import encoding, history, language, near_duplicates, packing, repeated_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,8 +39,17 @@ def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(encoding.token_counts(table(spark, folder, "documents")), capacity=2048)
 
 
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    found = language.mislabelled(table(spark, folder, "documents"), table(spark, folder, "lang_samples"), table(spark, folder, "lang_notations"))
+    return found.select("doc_id", "seg_no", "lang")
+
+
+def p8_confidence(spark: SparkSession, folder: str) -> DataFrame:
+    return language.language_stretches(table(spark, folder, "documents"), table(spark, folder, "lang_samples"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p3_found, p5_found, p6_ids, p7_containers)}
+    return {f.__name__: f for f in (p1_found, p3_found, p5_found, p6_ids, p7_containers, p8_found, p8_confidence)}
 
 
 def oracle_sql() -> dict[str, str]:
