@@ -247,25 +247,32 @@ def fit(samples: DataFrame) -> Model:
     return Model([(r["text"], r["lang"]) for r in rows])
 
 
-def language_stretches(docs: DataFrame, samples: DataFrame) -> DataFrame:
-    """(doc_id, seg_no, lang, size, confidence): one row for each stretch of each text of (doc_id, text).
-
-    size counts words, for Japanese characters. Null, empty, blank and wordless texts, and texts with less than a
-    stretch in any language, have no rows. Extra columns are ignored.
-    """
+def _segments(docs: DataFrame, samples: DataFrame) -> DataFrame:
+    """(doc_id, said, seg_no, lang, size, confidence, segments) of each stretch; said is the document's own label."""
     shared = docs.sparkSession.sparkContext.broadcast(fit(samples))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         detector = Detector(shared.value)
         for batch in batches:
             found = detector.find(batch["text"].to_pylist())
-            rows = [(at, n, *x) for at, some in enumerate(found) for n, x in enumerate(some, 1)]
-            at, no, lang, size, sure = zip(*rows) if rows else ((), (), (), (), ())
-            arrays = [batch["doc_id"].take(pa.array(at, pa.int64())), pa.array(no, pa.int32()), pa.array(lang, pa.string()), pa.array(size, pa.int32()), pa.array(sure, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "seg_no", "lang", "size", "confidence"])
+            rows = [(at, n, *x, len(some)) for at, some in enumerate(found) for n, x in enumerate(some, 1)]
+            at, no, lang, size, sure, segments = zip(*rows) if rows else ((), (), (), (), (), ())
+            where = pa.array(at, pa.int64())
+            arrays = [batch["doc_id"].take(where), batch["said"].take(where), pa.array(no, pa.int32()), pa.array(lang, pa.string()), pa.array(size, pa.int32()), pa.array(sure, pa.float64()), pa.array(segments, pa.int32())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "said", "seg_no", "lang", "size", "confidence", "segments"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, seg_no int, lang string, size int, confidence double")
+    said = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    return docs.select("doc_id", said.alias("said"), "text").mapInArrow(run, f"doc_id {kind}, said string, seg_no int, lang string, size int, confidence double, segments int")
+
+
+def language_stretches(docs: DataFrame, samples: DataFrame) -> DataFrame:
+    """(doc_id, seg_no, lang, size, confidence): one row for each stretch of each text of (doc_id, text).
+
+    size counts words, for Japanese characters. Null, empty, blank and wordless texts, and texts with less than a
+    stretch in any language, have no rows. Extra columns are ignored.
+    """
+    return _segments(docs, samples).select("doc_id", "seg_no", "lang", "size", "confidence")
 
 
 def mislabelled(docs: DataFrame, samples: DataFrame, notations: DataFrame) -> DataFrame:
@@ -274,10 +281,8 @@ def mislabelled(docs: DataFrame, samples: DataFrame, notations: DataFrame) -> Da
     docs: (doc_id, text, lang); notations: (label, lang). A text with one stretch is listed unless notations gives its
     language for exactly its label; a text with several always. A null label is never right.
     """
-    found = language_stretches(docs, samples)
-    several = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("lang").alias("only"))
-    meant = F.broadcast(notations.select(F.col("label").alias("said"), F.col("lang").alias("meant")).dropDuplicates(["said", "meant"])) if notations.count() <= 10_000 else notations.select(F.col("label").alias("said"), F.col("lang").alias("meant")).dropDuplicates(["said", "meant"])
-    labels = docs.select("doc_id", F.col("lang").alias("said"))
-    right = several.where("n = 1").join(labels, "doc_id").join(meant, ["said"]).where(F.col("meant") == F.col("only")).select("doc_id")
-    return found.join(right, "doc_id", "left_anti").select("doc_id", "seg_no", "lang", "confidence")
-
+    meant = notations.select(F.col("label").alias("said"), F.col("lang").alias("meant")).dropDuplicates()
+    meant = F.broadcast(meant) if meant.count() <= 10_000 else meant
+    found = _segments(docs, samples)
+    right = (found["segments"] == 1) & (found["said"] == meant["said"]) & (found["lang"] == meant["meant"])
+    return found.join(meant, right, "left_anti").select("doc_id", "seg_no", "lang", "confidence")
