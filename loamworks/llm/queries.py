@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamworks.llm import encoding, history, language, near_duplicates, packing, repeated_lines
+from loamworks.llm import boilerplate, encoding, history, language, near_duplicates, packing, repeated_lines, residue
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,11 +22,19 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return history.repeated_arrivals(arrivals, table(spark, folder, "indexed_chunks"), kept, threshold=0.6, k=3)
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return boilerplate.furniture_lines(table(spark, folder, "crawled_pages"))
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     texts = table(spark, folder, "chunks").select(F.col("chunk_no").alias("id"), "text")
     return near_duplicates.similar_pairs(texts, threshold=0.6, k=3).select(F.col("id_a").alias("chunk_no_a"), F.col("id_b").alias("chunk_no_b"))
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return residue.empty_pages(table(spark, folder, "crawled_pages"))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_lines.repeated_lines(table(spark, folder, "crawled_pages"), least=8)
 
@@ -49,7 +57,7 @@ def p8_confidence(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p3_found, p5_found, p6_ids, p7_containers, p8_found, p8_confidence)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p6_ids, p7_containers, p8_found, p8_confidence)}
 
 
 def oracle_sql() -> dict[str, str]:
