@@ -7,6 +7,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 _NETLOC = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
 
@@ -42,7 +43,7 @@ def content_type_base(content_type: Column) -> Column:
     return F.trim(F.split(content_type, ";")[0])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def join_url(base: pd.Series, href: pd.Series) -> pd.Series:
     """A link resolved against the address of its page; null if either is null or it cannot be resolved."""
 

@@ -134,9 +134,9 @@ class Index:
         """(qid, rank, id, score) over the lists that are probed; lists are cut into blocks, so none is unbounded."""
         held = self.near(vectors.select(F.col("id").cast("long"), "vector"), 1)
         sizes = held.groupBy("list").agg(F.expr(f"cast(ceil(count(*) / {VECTORS}) as int)").alias("blocks"))
-        right = held.join(F.broadcast(sizes), "list").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        asked = self.near(questions.select(F.col("qid").cast("long"), "vector"), probes).join(F.broadcast(sizes), "list")
-        left = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        right = held.join(F.broadcast(sizes), "list").select(F.col("list").alias("list"), F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.col("id").alias("id"), F.col("vector").alias("vector"))
+        asked = self.near(questions.select(F.col("qid").cast("long"), F.col("vector").alias("vector")), probes).join(F.broadcast(sizes.select(F.col("list").alias("list"), F.col("blocks").alias("n"))), "list")
+        left = asked.select("list", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("block"), "qid", "vector")
         found = left.groupBy("list", "block").cogroup(right.groupBy("list", "block")).applyInArrow(lambda a, b: best_of(a, b, k, False), _FOUND)
         return _ranked(found, k)
 
