@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamworks.llm.common import content_hash, cut_lineage, normalised_url
-from loamworks.llm.near_duplicates import NEW, OLD, similar_texts, similarities
+from loamworks.llm.near_duplicates import NEW, OLD, similar_texts, similarities, texts_of
 
 
 def paragraph_hashes(texts: DataFrame) -> DataFrame:
@@ -25,19 +25,21 @@ def paragraph_hashes(texts: DataFrame) -> DataFrame:
     return plain.select("id", F.xxhash64("p").alias("paragraph"), F.size(F.split("p", " ")).alias("words")).distinct()
 
 
-def covered_by_paragraphs(new: DataFrame, old: DataFrame, threshold: float, k: int) -> DataFrame:
-    """(id) of the texts of new whose best holder of shared paragraphs in old is similar enough, checked exactly."""
-    holder = paragraph_hashes(old).groupBy("paragraph").agg(F.min("id").alias("holder"))
+def covered_by_paragraphs(new: DataFrame, old: DataFrame, booked: DataFrame, threshold: float, k: int) -> DataFrame:
+    """(id) of the texts of new whose best holder of shared paragraphs, of the booked ids in old, is similar enough."""
+    holder = paragraph_hashes(old).join(booked, "id", "left_semi").groupBy("paragraph").agg(F.min("id").alias("holder"))
     shared = paragraph_hashes(new).join(holder, "paragraph").groupBy("id", "holder").agg(F.sum("words").alias("words"))
-    best = shared.groupBy("id").agg(F.max_by("holder", F.struct("words", "holder")).alias("holder"))
-    pairs = best.join(new.select("id", F.col("text").alias("text_a")), "id").join(old.select(F.col("id").alias("holder"), F.col("text").alias("text_b")), "holder")
+    best = cut_lineage(shared.groupBy("id").agg(F.max_by("holder", F.struct("words", "holder")).alias("holder")))
+    mine = texts_of(new, best).select("id", F.col("text").alias("text_a"))
+    theirs = texts_of(old, best.select(F.col("holder").alias("id"))).select(F.col("id").alias("holder"), F.col("text").alias("text_b"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             value = similarities(batch["text_a"].to_pylist(), batch["text_b"].to_pylist(), k)
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(value)], names=["id", "similarity"])
 
-    return pairs.select("id", "text_a", "text_b").mapInArrow(verify, "id long, similarity double").where(F.col("similarity") >= threshold - 1e-12).select("id")
+    pairs = best.join(mine, "id").join(theirs, "holder").select("id", "text_a", "text_b")
+    return pairs.mapInArrow(verify, "id long, similarity double").where(F.col("similarity") >= threshold - 1e-12).select("id")
 
 
 def first_come(nodes_links: DataFrame) -> DataFrame:
@@ -71,17 +73,21 @@ def repeated_arrivals(arrivals: DataFrame, ledger: DataFrame, kept: DataFrame, t
     """
     ledger = ledger.select("content_hash").where("content_hash is not null").distinct()
     batch = arrivals.select("arrival_id", F.coalesce(F.col("batch_no").cast("long"), F.lit(-(2**31))).alias("batch_no"), "text", content_hash(normalised_url(F.col("source_url")), F.col("text")).alias("content_hash"))
-    booked = batch.join(ledger, "content_hash", "left_semi").select("arrival_id")
-    rest = batch.join(ledger, "content_hash", "left_anti")
-    new = rest.select((F.col("arrival_id") * 2 + 1).alias("id"), "text")
-    old = kept.join(ledger, "content_hash", "left_semi").select((F.col("chunk_no") * 2).alias("id"), "text")
-    copied = cut_lineage(covered_by_paragraphs(new, old, threshold, k))
-    open_ = new.join(copied, "id", "left_anti")
-    found = similar_texts(open_.select("id", "text", F.lit(NEW).alias("side")).unionByName(old.select("id", "text", F.lit(OLD).alias("side"))), threshold, k)
+    keys = cut_lineage(batch.drop("text"))
+    booked = keys.join(ledger, "content_hash", "left_semi").select("arrival_id")
+    rest = cut_lineage(keys.join(ledger, "content_hash", "left_anti"))
+    # Texts are searched as they are read; which of them count is settled by their ids, so no text is shuffled for it.
+    new = batch.select((F.col("arrival_id") * 2 + 1).alias("id"), "text")
+    old = kept.select((F.col("chunk_no") * 2).alias("id"), "text")
+    counts = cut_lineage(kept.select((F.col("chunk_no") * 2).alias("id"), "content_hash").join(ledger, "content_hash", "left_semi").select("id"))
+    copied = cut_lineage(covered_by_paragraphs(new, old, counts, threshold, k).where("id is not null"))
+    found = similar_texts(new.select("id", "text", F.lit(NEW).alias("side")).unionByName(old.select("id", "text", F.lit(OLD).alias("side"))), threshold, k)
     when = F.struct("batch_no", "arrival_id")
-    mine = found.classes.where(F.col("side") == NEW).select("class", ((F.col("id") - 1) / 2).cast("long").alias("arrival_id")).join(rest.select("arrival_id", "batch_no"), "arrival_id")
+    settled = copied.select(((F.col("id") - 1) / 2).cast("long").alias("arrival_id")).join(rest, "arrival_id", "left_semi")
+    open_ = rest.select("arrival_id", "batch_no").join(settled, "arrival_id", "left_anti")
+    mine = found.classes.where(F.col("side") == NEW).select("class", ((F.col("id") - 1) / 2).cast("long").alias("arrival_id")).join(open_, "arrival_id")
     mine = cut_lineage(mine.select("class", "arrival_id", when.alias("at")))
-    past = found.classes.where(F.col("side") == OLD).select("class").distinct()
+    past = found.classes.where(F.col("side") == OLD).join(counts, "id", "left_semi").select("class").distinct()
     links = cut_lineage(found.links.select("class_a", "class_b"))
     both_ways = links.select(F.col("class_a").alias("class"), F.col("class_b").alias("other")).unionByName(links.select(F.col("class_b").alias("class"), F.col("class_a").alias("other")))
     near_old = cut_lineage(both_ways.join(past.select(F.col("class").alias("other")), "other", "left_semi").select("class").unionByName(past).distinct())
@@ -93,7 +99,6 @@ def repeated_arrivals(arrivals: DataFrame, ledger: DataFrame, kept: DataFrame, t
     again = mine.join(first.select("class", F.col("at").alias("first_at")), "class").where("at > first_at").select("arrival_id")
     by_hash = rest.where("content_hash is not null").select("arrival_id", "content_hash", when.alias("at"))
     same = by_hash.join(by_hash.groupBy("content_hash").agg(F.min("at").alias("first_at"), F.count("*").alias("n")).where("n > 1"), "content_hash").where("at > first_at").select("arrival_id")
-    settled = copied.select(((F.col("id") - 1) / 2).cast("long").alias("arrival_id"))
     return booked.unionByName(settled).unionByName(near).unionByName(again).unionByName(same).distinct()
 
 

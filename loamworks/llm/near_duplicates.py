@@ -204,15 +204,18 @@ def meeting_pairs(blocks: list[bytes], t: float) -> np.ndarray:
     sides = np.zeros(len(ids), np.uint8)
     np.bitwise_or.at(sides, same, side)
     key = np.concatenate(keys)
-    doc = same[(key >> np.uint64(4) & np.uint64((1 << 28) - 1)).astype(np.int64)]
-    key = np.sort((key & ~np.uint64(((1 << 28) - 1) << 4)) | (doc.astype(np.uint64) << np.uint64(4)))
+    doc = same[(key >> np.uint64(4) & np.uint64((1 << 28) - 1)).astype(np.int32)]
+    key = (key & ~np.uint64(((1 << 28) - 1) << 4)) | (doc.astype(np.uint64) << np.uint64(4))
+    del keys, doc
+    key.sort()
     key = key[np.concatenate(([True], key[1:] >> np.uint64(4) != key[:-1] >> np.uint64(4)))]
-    doc, pos = (key >> np.uint64(4) & np.uint64((1 << 28) - 1)).astype(np.int64), (key & np.uint64(15)).astype(np.int64)
-    key = key >> np.uint64(32)
-    start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    length = np.diff(np.append(start, len(key)))
-    i = np.flatnonzero(np.repeat(length, length) > 1)
+    doc, pos = (key >> np.uint64(4) & np.uint64((1 << 28) - 1)).astype(np.int32), (key & np.uint64(15)).astype(np.uint8)
+    key = (key >> np.uint64(32)).astype(np.uint32)
+    start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))).astype(np.int32)
+    length = np.diff(np.append(start, np.int32(len(key))))
+    i = np.flatnonzero(np.repeat(length > 1, length))
     end = np.repeat(start + length, length)
+    del key
     out: list[np.ndarray] = []
     step = 0
     while len(i):
@@ -221,7 +224,7 @@ def meeting_pairs(blocks: list[bytes], t: float) -> np.ndarray:
         for at in range(0, len(i), 1 << 20):
             u = i[at : at + (1 << 20)]
             v = u + step
-            a, b, p, q = doc[u], doc[v], pos[u], pos[v]
+            a, b, p, q = doc[u].astype(np.int64), doc[v].astype(np.int64), pos[u].astype(np.int64), pos[v].astype(np.int64)
             x, y = n[a], n[b]
             need = np.ceil(t / (1 + t) * (x + y) - 1e-9)
             last = np.minimum(np.minimum(x - 1, ((p + 1) * x + 15) // 16), np.minimum(y - 1, ((q + 1) * y + 15) // 16))
@@ -251,17 +254,24 @@ def similarities(a: list[str], b: list[str], k: int) -> np.ndarray:
     return out
 
 
+def texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the given ids: sent to every task while they are few, counted first; joined by shuffle beyond that."""
+    ids = ids.select("id").distinct()
+    ids = F.broadcast(ids) if ids.count() <= FEW_IDS else ids
+    return texts.select("id", "text").join(ids, "id", "left_semi")
+
+
 def similar_texts(texts: DataFrame, threshold: float = 0.8, k: int = 5, *, parts: int | None = None) -> SimilarTexts:
     """All pairs of different shingle sets whose similarity is ``threshold`` or more.
 
     texts: (id long, text string, side int); side NEW for rows to be compared with everything, OLD for rows that are
     compared with new ones only. Ids must be unique. Null, empty and too short texts belong to no class and no pair.
-    parts: parts of the key space, by default one for each shuffle partition; memory of a task goes down with it.
+    parts: parts of the key space, by default two for three shuffle partitions; memory of a task goes down with it.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
     spark = texts.sparkSession
-    parts = parts or shuffle_partitions(spark)
+    parts = parts or max(1, 2 * shuffle_partitions(spark) // 3)
     texts = texts.select(F.col("id").cast("long"), F.col("text"), F.col("side").cast("int"))
     profile = texts.mapInArrow(lambda it: _profile(it, k), "class long, id long, side int, bits binary, block int").persist()
     blocks = profile.where("block is not null").select("block", "bits").groupBy("block").applyInArrow(_sum_block, "block int, bits binary").collect()
@@ -303,9 +313,7 @@ def similar_texts(texts: DataFrame, threshold: float = 0.8, k: int = 5, *, parts
     one = classes.groupBy("class").agg(F.min("id").alias("id"))
     side = lambda x: one.select(F.col("class").alias(f"class_{x}"), F.col("id").alias(f"id_{x}"))
     candidates = cut_lineage(met.join(side("a"), "class_a").join(side("b"), "class_b"))
-    wanted = candidates.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
-    wanted = F.broadcast(wanted) if wanted.count() <= FEW_IDS else wanted
-    bodies = texts.select("id", "text").join(wanted, "id", "left_semi")
+    bodies = texts_of(texts, candidates.select(F.explode(F.array("id_a", "id_b")).alias("id")))
     body = lambda x: bodies.select(F.col("id").alias(f"id_{x}"), F.col("text").alias(f"text_{x}"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
