@@ -89,16 +89,16 @@ class Model:
         self.grams = [self._log(g) for g in grams]
 
     def _log(self, table: dict[str, Counter]) -> dict[str, np.ndarray]:
+        """Log probability of each language for each key, all languages taken as equally likely before."""
         total = np.ones(len(self.langs))
         for c in table.values():
             for i, n in c.items():
                 total[i] += n
-        out = {}
+        unseen, out = 0.02 / total.max(), {}
         for key, c in table.items():
-            v = np.full(len(self.langs), 0.02)
+            p = np.full(len(self.langs), unseen)
             for i, n in c.items():
-                v[i] += n
-            p = v / total
+                p[i] += n / total[i]
             out[key] = np.log(p / p.sum()).astype(np.float32)
         return out
 
