@@ -103,6 +103,12 @@ _TEASER = re.compile(r"\[\s?(?:\.\.\.|…)\s?\]$|\((?:more|mehr|suite|más)\)$",
 _BOLD = re.compile(r"^(?:\*\*|__)[^*_]+(?:\*\*|__)$")
 _RESIDUE = re.compile(r"[{}%@#$<>_\[\]]{1,2} ?[\w.: -]{2,40} ?[}%@>\]_]{1,2}|^(?:undefined|null|nan|none|\(empty string\)|\[object object\])(?:\s|$)|^ID \d+$", re.I)
 
+_ERROR = re.compile(
+    r"^(?:error )?\d{3}(?: [a-z ]{0,40})?$|^(?:bad gateway|access denied|application error|page not found|too many requests|checking your browser|internal server error|your session has expired|service (?:temporarily )?unavailable"
+    r"|seite nicht gefunden|zugriff verweigert|wartungsarbeiten|interner (?:server)?fehler|page introuvable|accès refusé|erreur interne|service indisponible|página no encontrada|acceso denegado|servicio no disponible|error interno)\.?$",
+    re.I,
+)
+
 #: Capacities of the graph's edges.
 NEAR, LIST, BLANK, HEAD, HANG = 12, 30, 2, 6, 60
 
@@ -168,7 +174,7 @@ def _judged(first: int, raw: str, gap: bool) -> Line:
         return as_(kind, 0, 50, "menu")
     if _TURN.match(plain) and len(plain) < 140:
         return as_(kind, 0, 80, "turn")
-    if _RESIDUE.search(plain) and words <= 8:
+    if words <= 8 and (_RESIDUE.search(plain) or (not mark or heading) and _ERROR.match(plain)):
         return as_(kind, 60, 0, "residue")
     parts = [letters(x) for x in _SPLIT.split(plain) if x.strip()]
     if len(parts) > 1 and max(x.count(" ") for x in parts) <= 2 and not plain.endswith((".", "?", "!", ":")):
