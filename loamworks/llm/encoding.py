@@ -15,6 +15,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -104,8 +105,10 @@ def encode(docs: DataFrame, folder: str = FOLDER) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [encoder(path).encode(x) for x in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+            ids = [np.array(encoder(path).encode(x), np.int32) for x in batch["text"].to_pylist()]
+            ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*ids, np.empty(0, np.int32)])))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], lists], names=["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 

@@ -32,8 +32,9 @@ SKETCH_BLOCK = 1 << 16
 LEVELS = (*((round(4 * 2.5**i), round(12.4 * 2.5**i)) for i in range(13, -1, -1)), (1, 3), (0, 1))
 #: A pair of shingles is a key by itself if chance lets at most so many texts share it, whatever the size of the corpus.
 RARE = 0.7
-#: Texts whose keys are made at a time, and ids up to which a semi-join sends them to every task instead of shuffling texts.
-AT_ONCE = 2000
+#: Shingles whose keys are made at a time, those of one block, and those of the corpus for each part of the key space.
+AT_ONCE, BLOCK, PART = 300_000, 2_000_000, 4_000_000
+#: Ids up to which a semi-join sends them to every task instead of shuffling texts.
 FEW_IDS = 1_000_000
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 NEW, OLD = 1, 2
@@ -154,6 +155,13 @@ def _grams(order: np.ndarray, pos: np.ndarray, m: int, texts: int) -> Iterator[t
             yield group[i] // m, S.mix(pair * _STEP + value[last]), value[i], pos[last]
 
 
+def runs(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Consecutive ranges of sets that hold about ``most`` shingles each, at least one set."""
+    group = (np.cumsum(sizes) - sizes) // most
+    start = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(sizes) else np.empty(0, np.int64)
+    return list(zip(start.tolist(), [*start[1:].tolist(), len(sizes)]))
+
+
 def pack(part_of: int, docs: tuple[np.ndarray, ...], doc: np.ndarray, key: np.ndarray, part: np.ndarray, pos: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """The keys of some sets as one compact block for each part of the key space: sets, then the keys of each set.
 
@@ -161,7 +169,7 @@ def pack(part_of: int, docs: tuple[np.ndarray, ...], doc: np.ndarray, key: np.nd
     32 bits within its part, its position by sixteenths of the set; collisions only make candidates.
     """
     ids, sizes, sides, bits = docs
-    by = np.argsort(part * len(ids) + doc, kind="stable")
+    by = np.argsort(part.astype(np.int64) * len(ids) + doc, kind="stable")
     part, doc = part[by], doc[by]
     short, where = key[by], (pos[by] * 16 // sizes[doc]).astype(np.uint8)
     edges = np.searchsorted(part, np.arange(part_of + 1))
@@ -266,18 +274,18 @@ def similar_texts(texts: DataFrame, threshold: float = 0.8, k: int = 5, *, parts
 
     texts: (id long, text string, side int); side NEW for rows to be compared with everything, OLD for rows that are
     compared with new ones only. Ids must be unique. Null, empty and too short texts belong to no class and no pair.
-    parts: parts of the key space, by default two for three shuffle partitions; memory of a task goes down with it.
+    parts: parts of the key space, by default two for three shuffle partitions, more for large corpora, so that no part grows.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
     spark = texts.sparkSession
-    parts = parts or max(1, 2 * shuffle_partitions(spark) // 3)
     texts = texts.select(F.col("id").cast("long"), F.col("text"), F.col("side").cast("int"))
     profile = texts.mapInArrow(lambda it: _profile(it, k), "class long, id long, side int, bits binary, block int").persist()
     blocks = profile.where("block is not null").select("block", "bits").groupBy("block").applyInArrow(_sum_block, "block int, bits binary").collect()
     counts = np.zeros(1 << SKETCH_BITS, np.int64)
     for row in blocks:
         counts[row["block"] * SKETCH_BLOCK : (row["block"] + 1) * SKETCH_BLOCK] = np.frombuffer(zlib.decompress(bytes(row["bits"])), np.int64)
+    parts = parts or max(1, 2 * shuffle_partitions(spark) // 3, -(-int(counts.sum()) // PART))
     classes = profile.where("block is null").select("class", "id", "side")
     total = classes.count()
     ranks = spark.sparkContext.broadcast(np.minimum(255, 8 * np.log2(1 + counts)).astype(np.uint8))
@@ -294,16 +302,18 @@ def similar_texts(texts: DataFrame, threshold: float = 0.8, k: int = 5, *, parts
             sides = sides[1:] if print_of[order[0]] == 0 else sides
             one = order[first]
             sizes = np.diff(offsets)[one]
-            made, bits = [], []
-            for at in range(0, len(one), AT_ONCE):
-                some = one[at : at + AT_ONCE]
-                picked = np.concatenate([h[offsets[i] : offsets[i + 1]] for i in some])
-                ends = np.concatenate(([0], np.cumsum(sizes[at : at + AT_ONCE])))
-                doc, key, lead, pos = join_keys(ends, picked, ranks.value, total, threshold)
-                made.append(((doc + at).astype(np.int32), key.astype(np.uint32), (lead >> np.uint64(24)).astype(np.int64) % parts, pos.astype(np.int32)))
-                bits.append(bitmaps(ends, picked))
-            rows = list(pack(parts, (print_of[one].view(np.int64), sizes, sides, np.concatenate(bits)), *(np.concatenate(x) for x in zip(*made))))
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["part", "block"])
+            for lo, hi in runs(sizes, BLOCK):
+                made, bits = [], []
+                for at, end in runs(sizes[lo:hi], AT_ONCE):
+                    some = one[lo + at : lo + end]
+                    picked = np.concatenate([h[offsets[i] : offsets[i + 1]] for i in some])
+                    ends = np.concatenate(([0], np.cumsum(sizes[lo + at : lo + end])))
+                    doc, key, lead, pos = join_keys(ends, picked, ranks.value, total, threshold)
+                    made.append(((doc + at).astype(np.int32), key.astype(np.uint32), ((lead >> np.uint64(24)) % np.uint64(parts)).astype(np.int32), pos.astype(np.int32)))
+                    bits.append(bitmaps(ends, picked))
+                sets = (print_of[one[lo:hi]].view(np.int64), sizes[lo:hi], sides[lo:hi], np.concatenate(bits))
+                rows = list(pack(parts, sets, *(np.concatenate(x) for x in zip(*made))))
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["part", "block"])
 
     def meet(table: pa.Table) -> pa.Table:
         both = meeting_pairs(table["block"].to_pylist(), threshold)

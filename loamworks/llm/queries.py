@@ -61,7 +61,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p5_found": P5}
+    return {"p3_found": P3, "p5_found": P5}
 
 
 P5 = r"""
@@ -78,3 +78,11 @@ with pages as (
 )
 select page_id, line_no from keyed join often using (site, key)
 """
+
+P3 = r"""
+with w as (select chunk_no, list_transform(regexp_extract_all(text, '[\p{L}\p{N}]+'), lambda x: lower(x)) as w from chunks),
+s as (select distinct chunk_no, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as s from (select chunk_no, w, unnest(range(1, len(w) - 1)) as i from w)),
+n as (select chunk_no, count(*) as n from s group by chunk_no),
+p as (select a.chunk_no as a, b.chunk_no as b, count(*) as c from s a join s b on a.s = b.s and a.chunk_no < b.chunk_no group by 1, 2)
+select p.a as chunk_no_a, p.b as chunk_no_b from p join n x on x.chunk_no = p.a join n y on y.chunk_no = p.b where p.c * 1.0 / (x.n + y.n - p.c) >= 0.6
+"""
