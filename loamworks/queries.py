@@ -527,6 +527,15 @@ def v06(spark, folder):
     return _shown(search.Index.fit(held).top_k(asked, held, 5))
 
 
+@query("v07_index_recall")
+def v07(spark, folder):
+    """How many of the five exact answers to each question the index finds."""
+    asked, held = _vectors(spark, folder)
+    exact = search.top_k(asked, held, 5).select("qid", F.col("id").alias("id"))
+    found = search.Index.fit(held).top_k(asked, held, 5).select(F.col("qid").alias("qid"), F.col("id").alias("id"), F.lit(1).alias("hit"))
+    return exact.join(found, ["qid", "id"], "left").groupBy("qid").agg(F.count("*").alias("wanted"), F.count("hit").alias("found"))
+
+
 @query("v08_half_topk")
 def v08(spark, folder):
     asked, held = _vectors(spark, folder)
