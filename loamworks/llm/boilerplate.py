@@ -92,7 +92,8 @@ _DATED = re.compile(
     r"^(?:(?:published|last reviewed|updated|veröffentlicht|zuletzt|geprüft|stand|publié|mis à jour|dernière|publicado|revisado|actualizado|última)\b.*\d|\d+ (?:min read|minuten lesezeit|min de lecture|min de lectura)$)",
     re.I,
 )
-_BYLINE = re.compile(r"^(?:(?:[Ww]ritten |[Gg]eschrieben |[ÉEée]crit |[Ee]scrito )?(?:[Bb]y|[Vv]on|[Pp]ar|[Pp]or)|BY|VON|PAR|POR) [A-ZÀ-Þ][^.!?:;]{1,60}$")
+_BYLINE = re.compile(r"^(?:[Bb]y|[Vv]on|[Pp]ar|[Pp]or|BY|VON|PAR|POR) [A-ZÀ-Þ][^.!?:;]{1,60}$")
+_WRITTEN = re.compile(r"^(?:written by|geschrieben von|écrit par|escrito por) \S[^.!?:;]{1,60}$", re.I)
 _COPY = re.compile(r"^(?:©|\(c\)|copyright)\s*©?\s*\d{4}\b", re.I)
 _CRUMB = re.compile(r"^\S[^>»›/|→]{0,28}(?:\s+(?:>|»|›|/|→)\s+)[^>»›/|→]{1,28}(?:\s+(?:>|»|›|/|→)\s+)\S")
 _CRUMB_HOME = re.compile(r"^(?:home|startseite|accueil|inicio)\s+(?:>|»|›|/|→|\||·|:)\s+\S", re.I)
@@ -162,7 +163,7 @@ def _judged(first: int, raw: str, gap: bool) -> Line:
         return as_(kind, 0, 120, "talk")
     if key in ADVERT:
         return as_(kind, 0, 120, "advert")
-    if key in AUTHOR:
+    if key in AUTHOR or _WRITTEN.match(low):
         return as_(kind, 0, 120, "author")
     if _SAYS.match(low):
         return as_(kind, 0, 120, "says")
@@ -174,15 +175,15 @@ def _judged(first: int, raw: str, gap: bool) -> Line:
         return as_(kind, 0, 50, "menu")
     if _TURN.match(plain) and len(plain) < 140:
         return as_(kind, 0, 80, "turn")
+    if _TEASER.search(plain):
+        return as_("prose", 0, 90, "teaser")
     if words <= 8 and (_RESIDUE.search(plain) or (not mark or heading) and _ERROR.match(plain)):
         return as_(kind, 60, 0, "residue")
     parts = [letters(x) for x in _SPLIT.split(plain) if x.strip()]
     if len(parts) > 1 and max(x.count(" ") for x in parts) <= 2 and not plain.endswith((".", "?", "!", ":")):
         known = sum(x in MENU or x in SERVICE for x in parts)
-        if known or len(parts) > 2:
+        if known:
             return as_("item", 0, 40 + 20 * known, "menu")
-    if _TEASER.search(plain):
-        return as_("prose", 0, 90, "teaser")
     if _BOLD.match(raw.strip()):
         return as_("item", 8, 10, "bold")
     if heading:

@@ -33,7 +33,7 @@ LEVELS = (*((round(4 * 2.5**i), round(12.4 * 2.5**i)) for i in range(13, -1, -1)
 #: A pair of shingles is a key by itself if chance lets at most so many texts share it, whatever the size of the corpus.
 RARE = 0.7
 #: Shingles whose keys are made at a time, those of one block, and those of the corpus for each part of the key space.
-AT_ONCE, BLOCK, PART = 300_000, 2_000_000, 4_000_000
+AT_ONCE, BLOCK, PART = 300_000, 2_000_000, 2_500_000
 #: Ids up to which a semi-join sends them to every task instead of shuffling texts.
 FEW_IDS = 1_000_000
 _STEP = np.uint64(0xD6E8FEB86659FD93)
