@@ -112,6 +112,8 @@ _ERROR = re.compile(
 
 #: Capacities of the graph's edges.
 NEAR, LIST, BLANK, HEAD, HANG = 12, 30, 2, 6, 60
+#: Evidence for the body of a line that is a sentence.
+SENTENCE = 40
 
 
 @dataclass
@@ -189,11 +191,11 @@ def _judged(first: int, raw: str, gap: bool) -> Line:
     if heading:
         return as_(kind, 60 if text.startswith("# ") else 40, 0)
     if plain.endswith((".", "?", "!", ":", ";", "。")) and words >= 4:
-        return as_(kind, 40, 0)
+        return as_(kind, SENTENCE, 0)
     if kind == "short":
         return as_(kind, 0, 12)
     if kind == "item":
-        return as_(kind, 10, 0) if words > 3 else as_(kind, 0, 8)
+        return as_(kind, 10 if words > 3 else 6, 0) if words > 2 else as_(kind, 0, 2 if words == 2 else 12)
     return as_(kind, 6, 0)
 
 
@@ -237,7 +239,7 @@ def edges(lines: list[Line]) -> list[tuple[int, int, int]]:
         if b.gap:
             price = BLANK
         elif a.kind == b.kind and a.kind in ("item", "short"):
-            price = LIST
+            price = LIST if (a.body >= SENTENCE) == (b.body >= SENTENCE) else HEAD
         elif "heading" in (a.kind, b.kind):
             price = HEAD
         elif "code" in (a.kind, b.kind) or "table" in (a.kind, b.kind) or a.kind != b.kind:
@@ -255,7 +257,7 @@ def edges(lines: list[Line]) -> list[tuple[int, int, int]]:
                 if seen and x.gap and not (lines[j - 1].role in ("bold", "teaser") and x.role in ("bold", "teaser")):
                     break
                 after_bold = lines[j - 1].role == "bold"
-                if x.kind == "prose" and not x.role and not after_bold and x.body >= 40:
+                if not x.role and not after_bold and x.body >= SENTENCE:
                     break
                 out.append((i, j, HANG))
                 seen += 1
