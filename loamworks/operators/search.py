@@ -43,7 +43,7 @@ def profile(backend: str) -> Profile:
     return PROFILES[backend]
 
 
-def unit(rows: list, half: bool = False) -> np.ndarray:
+def unit(rows: list | np.ndarray, half: bool = False) -> np.ndarray:
     """Vectors of length 1 in double precision; a zero vector becomes NaN."""
     m = np.array(rows, np.float64)
     if half:
@@ -52,6 +52,14 @@ def unit(rows: list, half: bool = False) -> np.ndarray:
         return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
+def matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Rows of an array column of one length, without going through Python lists."""
+    array = column.combine_chunks()
+    array = array.chunk(0) if isinstance(array, pa.ChunkedArray) and array.num_chunks else array
+    flat = np.asarray(array.flatten(), np.float64)
+    return flat.reshape(len(array), len(flat) // max(1, len(array)))
+
+
 def best_of(questions: pa.Table, vectors: pa.Table, k: int, half: bool) -> pa.Table:
     """The k best vectors of each question within two blocks; ties go to the smaller id, NaN scores are left out."""
     empty = pa.table({"qid": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
@@ -60,7 +68,7 @@ def best_of(questions: pa.Table, vectors: pa.Table, k: int, half: bool) -> pa.Ta
     q, ids = np.asarray(questions["qid"]), np.asarray(vectors["id"])
     by = np.argsort(ids, kind="stable")
     ids = ids[by]
-    score = np.round(unit(questions["vector"].to_pylist(), half) @ unit(vectors["vector"].to_pylist(), half)[by].T, 12)
+    score = np.round(unit(matrix(questions["vector"]), half) @ unit(matrix(vectors["vector"]), half)[by].T, 12)
     score = np.where(np.isnan(score), -np.inf, score)
     n = min(k, len(ids))
     top = np.argsort(-score, axis=1, kind="stable")[:, :n]

@@ -15,6 +15,7 @@ from loamworks.functions.chunking import Budget, chunk_pages
 from loamworks.functions.embedding import cosine, embedding
 from loamworks.functions.html import html_to_markdown
 from loamworks.operators import collection, crawl, dedup, jobs, search
+from loamworks.operators.lineage import cut_lineage
 from loamworks.plans import rag
 from loamworks.schemas import CHUNK_METADATA
 from loamworks.streaming.incremental import pages_by_window
@@ -597,7 +598,7 @@ def flagship(spark: SparkSession, folder: str) -> DataFrame:
     settings = Settings()
     pages = url_pages(spark, folder)
     ready = crawl.usable(pages).select(F.col("url").alias("source_url"), "page_title", "markdown", F.lit(None).cast("string").alias("parent_url"), "content_type", F.lit(None).cast("timestamp").alias("crawl_timestamp"))
-    fresh = dedup.new_chunks(chunk_pages(ready, Budget(200, 300, 40)), table(spark, folder, "indexed_chunks"), ["source_url", "chunk_index"])
+    fresh = cut_lineage(dedup.new_chunks(chunk_pages(ready, Budget(200, 300, 40)), table(spark, folder, "indexed_chunks"), ["source_url", "chunk_index"]))
     held = fresh.select(F.xxhash64("content_hash").alias("id"), "content_hash", "source_url", "section", "text")
     vectors = held.select("id", embedding(F.col("text"), settings).alias("vector"))
     asked = pages.where("page_id % 20 = 0 and page_title is not null").select(F.col("page_id").alias("qid"), embedding(F.col("page_title"), settings, "query").alias("vector"))
