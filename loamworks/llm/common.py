@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from loamworks.functions.text import content_hash
+from loamworks.operators.lineage import cut_lineage
+
+__all__ = ["content_hash", "cut_lineage", "normalised_url", "shuffle_partitions", "site_of"]
+
 SITE = r"^[hH][tT][tT][pP][sS]?://([^/?#]+)"
 
 
@@ -18,30 +23,5 @@ def site_of(url: Column) -> Column:
     return F.nullif(F.lower(F.regexp_extract(url, SITE, 1)), F.lit(""))
 
 
-def stripped(text: Column) -> Column:
-    """Unicode white space dropped at both ends, as Python's ``str.strip`` does."""
-    space = r"[\s\x1c-\x1f\x85\p{Z}]"
-    return F.regexp_replace(F.regexp_replace(text, rf"^{space}+", ""), rf"{space}+\z", "")
-
-
-def content_hash(url: Column, text: Column) -> Column:
-    """SHA-256 hex of the URL, a zero byte and the stripped text."""
-    return F.sha2(F.concat(F.encode(url, "UTF-8"), F.lit(b"\x00"), F.encode(stripped(text), "UTF-8")), 256)
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder that ``spark.checkpoint.dir`` names; a temporary one only where it is unset."""
-    spark: SparkSession = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            import tempfile
-
-            folder = tempfile.mkdtemp(prefix="spark-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -19,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Pattern of the public vocabulary's words (fixed value).
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+from loamworks.functions.tokens import PATTERN
+
 FOLDER = "/opt/tokenizers"
 LEAF = 1 << 13
 _SAFE = re.compile(r"\S(?=[ \n\t])")
