@@ -562,7 +562,7 @@ def e00(spark, folder):
     f"""with w as (select chunk_no, unnest(string_split_regex(lower(text), '[\\s\\x1c-\\x1f\\x85\\p{{Z}}]+')) as w from chunks),
     b as (select chunk_no, ('0x' || substr(md5(w), 1, 8))::bigint % {DIM} as bucket, count(*) as n from w where w <> '' group by 1, 2),
     s as (select *, sqrt(sum(n * n) over (partition by chunk_no)) as norm from b)
-    select chunk_no, cast(bucket as bigint) as bucket, round(n / norm, 4) as value from s""",
+    select chunk_no, cast(bucket as bigint) as bucket, round(cast(cast(n / norm as float) as double), 4) as value from s""",
 )
 def e01(spark, folder):
     made = table(spark, folder, "chunks").select("chunk_no", embedding(F.col("text"), Settings(embedding_dimension=DIM)).alias("v"))
