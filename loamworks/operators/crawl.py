@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import xml.etree.ElementTree as ET
 
 import pandas as pd
@@ -89,17 +90,17 @@ def parse_sitemap(xml: Column) -> Column:
     return run(xml)
 
 
-def sitemap_urls(files: DataFrame, sites: DataFrame, max_sitemaps: int = 50, same_domain: bool = True) -> DataFrame:
+def sitemap_urls(files: DataFrame, sites: DataFrame, max_sitemaps: int | None = 50, same_domain: bool = True) -> DataFrame:
     """(site, rank, url) of the pages that the sitemaps of each site (site) list, from sitemap files (url, xml).
 
-    Starts at /sitemap.xml of the host and follows index files in order, at most max_sitemaps files for a site; missing
-    files count but list nothing. Addresses are normalised; the first place of each is kept.
+    Starts at /sitemap.xml of the host and follows index files in order, at most max_sitemaps files for a site (None: all
+    of them); missing files count but list nothing. Addresses are normalised; the first place of each is kept.
     """
     files = files.select("url", parse_sitemap(F.col("xml")).alias("read"))
     turn = sites.select("site", sitemap_root(F.col("site")).alias("url"), F.array(F.lit(0)).alias("path")).distinct()
     visited = turn.select("site", "url")
     kept: list[DataFrame] = []
-    for _ in range(max_sitemaps):
+    for _ in itertools.count() if max_sitemaps is None else range(max_sitemaps):
         read = cut_lineage(turn.join(files, "url", "left"))
         kept.append(read)
         nested = read.select("site", F.posexplode("read.nested").alias("pos", "url"), "path").select("site", "url", F.concat("path", F.array("pos")).alias("path"))
@@ -110,9 +111,12 @@ def sitemap_urls(files: DataFrame, sites: DataFrame, max_sitemaps: int = 50, sam
     out = kept[0]
     for x in kept[1:]:
         out = out.unionByName(x)
-    nth = F.row_number().over(W.partitionBy("site").orderBy(F.size("path"), "path"))
-    listed = out.withColumn("nth", nth).where(F.col("nth") <= max_sitemaps).select("site", "nth", F.posexplode("read.pages").alias("pos", "raw"))
-    pages = listed.select("site", normalize_url(F.col("raw")).alias("url"), F.struct("nth", "pos").alias("at"))
+    out = out.withColumn("turn", F.struct(F.size("path").alias("depth"), "path"))
+    if max_sitemaps is not None:
+        nth = F.row_number().over(W.partitionBy("site").orderBy("turn"))
+        out = out.withColumn("nth", nth).where(F.col("nth") <= max_sitemaps)
+    listed = out.select("site", "turn", F.posexplode("read.pages").alias("pos", "raw"))
+    pages = listed.select("site", normalize_url(F.col("raw")).alias("url"), F.struct("turn", "pos").alias("at"))
     if same_domain:
         pages = pages.where(netloc(F.col("url")) == netloc(F.col("site")))
     first = pages.groupBy("site", "url").agg(F.min("at").alias("at"))

@@ -441,12 +441,8 @@ def s04_budget(spark, folder):
     return crawl.crawl(pages, _seeds(pages), max_depth=2, max_pages=10)
 
 
-@query(
-    "s05_sitemap",
-    f"select distinct regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) as site, url from (select {_n('source_url')} as url from crawled_pages) where {_VALID.format('url')}",
-)
-def s05(spark, folder):
-    """Each host's pages are written as sitemap files of about 1,000 addresses behind an index, then read."""
+def _sitemaps(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Each host's pages written as sitemap files of about 1,000 addresses behind an index, and the hosts."""
     pages = url_pages(spark, folder).select(F.regexp_replace(U.sitemap_root(F.col("url")), "/sitemap.xml$", "").alias("site"), "url")
     parts = pages.groupBy("site").agg(F.expr("cast(ceil(count(*) / 1000) as int)").alias("parts"))
     loc = lambda x: F.concat(F.lit("<url><loc> "), escaped(x), F.lit(" </loc></url>"))
@@ -456,7 +452,21 @@ def s05(spark, folder):
     leaves = leaves.select(name.alias("url"), F.concat(F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), "body", F.lit("</urlset>")).alias("xml"))
     nested = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: F.concat(F.lit("<sitemap><loc>"), F.col("site"), F.lit("/sitemap-"), i.cast("string"), F.lit(".xml</loc></sitemap>")))
     index = parts.select(F.concat("site", F.lit("/sitemap.xml")).alias("url"), F.concat(F.lit("<sitemapindex>"), F.array_join(nested, ""), F.lit("</sitemapindex>")).alias("xml"))
-    return crawl.sitemap_urls(index.unionByName(leaves), parts.select("site"), max_sitemaps=50).select("site", "url")
+    return index.unionByName(leaves), parts.select("site")
+
+
+@query(
+    "s05_sitemap",
+    f"select distinct regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) as site, url from (select {_n('source_url')} as url from crawled_pages) where {_VALID.format('url')}",
+)
+def s05(spark, folder):
+    """The sitemap files of each host, all of them, are read."""
+    return crawl.sitemap_urls(*_sitemaps(spark, folder), max_sitemaps=None).select("site", "url")
+
+
+@query("s05_sitemap_budget")
+def s05_budget(spark, folder):
+    return crawl.sitemap_urls(*_sitemaps(spark, folder), max_sitemaps=50).select("site", "url")
 
 
 @query(

@@ -71,6 +71,15 @@ def test_sitemaps(spark):
     assert [r.url for r in sorted(C.sitemap_urls(df, sites, max_sitemaps=2).collect())] == [f"{HOST}/1", f"{HOST}/2", f"{HOST}/pic"]
 
 
+def test_sitemap_query_reads_every_file_of_a_large_host(spark, tmp_path):
+    from loamworks import queries as Q
+
+    rows = spark.range(50_500).select(F.col("id").alias("page_id"), F.concat(F.lit(f"{HOST}/"), F.col("id")).alias("source_url"), F.expr("cast(null as string) as page_title"), F.lit("w").alias("markdown"), F.lit("text/html").alias("content_type"), F.expr("cast(array() as array<string>) as links"))
+    rows.write.parquet(str(tmp_path / "crawled_pages.parquet"))
+    assert Q.queries()["s05_sitemap"](spark, str(tmp_path)).distinct().count() == 50_500
+    assert Q.queries()["s05_sitemap_budget"](spark, str(tmp_path)).distinct().count() < 50_500
+
+
 def test_dedup(spark):
     rows = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 3, None), (None, 4, "n")], "content_hash string, pos int, text string")
     ledger = spark.createDataFrame([("b",)], "content_hash string")
