@@ -8,6 +8,9 @@ No similar pair is lost, and frequent phrases make no candidates by themselves.
 
 Candidates pass a length and a positional filter where the keys meet, a suffix filter on bitmaps, and one exact
 comparison for each pair. Texts with equal shingle sets form one class and are compared once.
+
+A key meets where its first shingle is dealt to. The sets of a first shingle that more than ``hot`` texts may have are
+salted into blocks of about ``hot`` sets, and each two blocks meet in a cell, a task's worth of its own.
 """
 
 from __future__ import annotations
@@ -34,6 +37,10 @@ LEVELS = (*((round(4 * 2.5**i), round(12.4 * 2.5**i)) for i in range(13, -1, -1)
 RARE = 0.7
 #: Shingles whose keys are made at a time, those of one block, and those of the corpus for each part of the key space.
 AT_ONCE, BLOCK, PART = 300_000, 2_000_000, 2_500_000
+#: Texts that may share a first shingle before its sets are salted, at least, and as a multiple of the mean that the counts show.
+HOT, HOT_MEAN = 4096, 4
+#: Pairs formed at a time, different pairs held before they are passed on, and bytes of salted blocks passed on at a time.
+PAIRS, HELD, CHUNK = 1 << 20, 1 << 21, 1 << 24
 #: Ids up to which a semi-join sends them to every task instead of shuffling texts.
 FEW_IDS = 1_000_000
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -93,7 +100,7 @@ def _sum_block(table: pa.Table) -> pa.Table:
 
 
 def join_keys(offsets: np.ndarray, hashes: np.ndarray, counts: np.ndarray, texts: int, t: float) -> tuple[np.ndarray, ...]:
-    """(index of the set, key, key's first shingle, position of its last shingle) of every join key of these sets.
+    """(index of the set, key, key's first shingle, its rank, position of the last shingle) of every join key of these sets.
 
     counts: a count for each value of the lowest SKETCH_BITS bits, from the whole corpus of so many texts.
     """
@@ -118,7 +125,7 @@ def join_keys(offsets: np.ndarray, hashes: np.ndarray, counts: np.ndarray, texts
                 out.append((d + at, *x))
             above = low_end
     if not out:
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.uint8), np.empty(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -127,14 +134,15 @@ def _grams(order: np.ndarray, pos: np.ndarray, m: int, texts: int) -> Iterator[t
     low = S.BITS - 8
     value = S.mix((order & S._MASK) + np.uint64(m))
     doc = (order >> np.uint64(S.BITS)).astype(np.int64)
+    rank = (order >> np.uint64(low)).astype(np.uint8)
     if m == 0:
-        yield doc, value, value, pos
+        yield doc, value, value, rank, pos
         return
     group = doc * m + ((order >> np.uint64(17)) % np.uint64(m)).astype(np.int64) if m > 1 else doc
     if m > 1:
         by = np.argsort(group, kind="stable")
-        group, value, pos, order = group[by], value[by], pos[by], order[by]
-    often = np.exp2(((order >> np.uint64(low)) & np.uint64(255)).astype(np.float32) / 8)
+        group, value, pos, rank = group[by], value[by], pos[by], rank[by]
+    often = np.exp2(rank.astype(np.float32) / 8)
     start = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(group) else np.empty(0, np.int64)
     length = np.diff(np.append(start, len(group)))
     end = np.repeat(start + length, length)
@@ -144,7 +152,7 @@ def _grams(order: np.ndarray, pos: np.ndarray, m: int, texts: int) -> Iterator[t
         j = i + a
         pair = S.mix(value[i] * _STEP + value[j])
         rare = often[i] * often[j] <= RARE * texts
-        yield group[i[rare]] // m, pair[rare], value[i[rare]], pos[j[rare]]
+        yield group[i[rare]] // m, pair[rare], value[i[rare]], rank[i[rare]], pos[j[rare]]
         i, j, pair = i[~rare], j[~rare], pair[~rare]
         for b in range(1, int(length.max(initial=0)) - a):
             more = j + b < end[i]
@@ -152,7 +160,7 @@ def _grams(order: np.ndarray, pos: np.ndarray, m: int, texts: int) -> Iterator[t
                 break
             i, j, pair = i[more], j[more], pair[more]
             last = j + b
-            yield group[i] // m, S.mix(pair * _STEP + value[last]), value[i], pos[last]
+            yield group[i] // m, S.mix(pair * _STEP + value[last]), value[i], rank[i], pos[last]
 
 
 def runs(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
@@ -181,69 +189,132 @@ def pack(part_of: int, docs: tuple[np.ndarray, ...], doc: np.ndarray, key: np.nd
         wide = bool(size.max() >> 16 or count.max() >> 16)
         kind = np.uint32 if wide else np.uint16
         q = np.append(where[lo:hi], np.zeros((hi - lo) % 2, np.uint8))
-        head = np.array([len(here), hi - lo, wide], np.int64)
+        head = np.array([len(here), hi - lo, wide, 0], np.int64)
         yield int(x), b"".join(y.tobytes() for y in (head, ids[here], bits[here], size.astype(kind), count.astype(kind), short[lo:hi], q[::2] << 4 | q[1::2]))
 
 
+def salts(counts: np.ndarray, hot: int | None = None) -> np.ndarray:
+    """Blocks, for each rank of a key's first shingle, that its sets are salted into; 1 where they stay together."""
+    hot = hot or max(HOT, HOT_MEAN * int(counts.mean()))
+    return np.exp2(np.ceil(np.maximum(0, np.arange(256) / 8 - np.log2(hot)))).astype(np.int64)
+
+
+def pack_salted(docs: tuple[np.ndarray, ...], doc: np.ndarray, key: np.ndarray, lead: np.ndarray, blocks: np.ndarray, pos: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Keys whose first shingle is hot, once for each cell (a block of its sets against another or itself); cells are negative."""
+    salt = (S.mix(docs[0].view(np.uint64)[doc]) % blocks.astype(np.uint64)).astype(np.int64)
+    by = np.lexsort((salt, lead))
+    new = np.concatenate(([True], (lead[by][1:] != lead[by][:-1]) | (salt[by][1:] != salt[by][:-1])))
+    first, group = by[new], np.empty(len(by), np.int64)
+    group[by] = np.cumsum(new) - 1
+    for g, block in pack(len(first), docs, doc, key, group, pos):
+        mine, n = int(salt[first[g]]), int(blocks[first[g]])
+        other = np.arange(n)
+        cell = (np.minimum(mine, other) << 31 | np.maximum(mine, other)).astype(np.uint64)
+        cell = -1 - (S.mix(lead[first[g]] + S.mix(cell)) >> np.uint64(1)).astype(np.int64)
+        for x, at in enumerate(cell.tolist()):
+            yield at, block[:24] + int(0 if x == mine else 1 if mine < x else 2).to_bytes(8, "little") + block[32:]
+
+
 def unpack(block: bytes) -> tuple[np.ndarray, ...]:
-    """(class, bitmap, size, side) of the sets of a block; (index of the set, key, sixteenth of the position) of its keys."""
-    docs, keys, wide = np.frombuffer(block, np.int64, 3)
+    """(class, bitmap, size, side, half of the cell) of the sets of a block; (index of the set, key, sixteenth of the position) of its keys."""
+    docs, keys, wide, half = np.frombuffer(block, np.int64, 4)
     kind = np.uint32 if wide else np.uint16
-    at, out = 24, []
+    at, out = 32, []
     for what, n in ((np.int64, docs), (np.uint64, 4 * docs), (kind, docs), (kind, docs), (np.uint32, keys), (np.uint8, (keys + 1) // 2)):
         out.append(np.frombuffer(block, what, n, at))
         at += out[-1].nbytes
     ids, bits, size, count, key, q = out
     q = np.stack((q >> 4, q & 15), axis=1).reshape(-1)[:keys]
-    return ids, bits.reshape(-1, 4), (size >> 2).astype(np.int64), (size & 3).astype(np.uint8), np.repeat(np.arange(docs), count), key, q
+    return ids, bits.reshape(-1, 4), (size >> 2).astype(np.int64), (size & 3).astype(np.uint8), np.full(docs, half, np.uint8), np.repeat(np.arange(docs), count), key, q
+
 
+def meeting_pairs(blocks: list[bytes], t: float) -> Iterator[np.ndarray]:
+    """Pairs (a, b) of classes that meet in a key and pass the length, the positional and the suffix filter, in batches.
 
-def meeting_pairs(blocks: list[bytes], t: float) -> np.ndarray:
-    """Pairs (a, b), a < b, of classes that meet in a key and pass the length, the positional and the suffix filter."""
+    The sets of a key are ordered by half of the cell, new before old, and size, so that each set has to look at two
+    ranges only: new and old ones of the other half (of its own if the cell has one) that are near it in size.
+    """
     sets, keys, held = [], [], 0
     for x in blocks:
-        ids, bits, n, side, doc, key, q = unpack(x)
-        sets.append((ids, bits, n, side))
+        ids, bits, n, side, half, doc, key, q = unpack(x)
+        sets.append((ids, bits, n, side, half))
         keys.append((key.astype(np.uint64) << np.uint64(32)) | ((doc + held).astype(np.uint64) << np.uint64(4)) | q)
         held += len(ids)
-    ids, bits, n, side = (np.concatenate(x) for x in zip(*sets))
+    ids, bits, n, side, half = (np.concatenate(x) for x in zip(*sets))
     ids, first, same = np.unique(ids, return_index=True, return_inverse=True)
-    bits, n = bits[first], n[first]
     sides = np.zeros(len(ids), np.uint8)
     np.bitwise_or.at(sides, same, side)
+    n, segment = n[first], 2 * (half[first] == 2) + (sides & NEW == 0)
+    order = np.lexsort((n, segment))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    ids, bits, n, same = ids[order], bits[first[order]], n[order], place[same]
+    edge = np.searchsorted(segment[order], np.arange(5))
+    crossed = bool((half > 0).any())
+    four, low = np.uint64(4), np.uint64((1 << 28) - 1)
     key = np.concatenate(keys)
-    doc = same[(key >> np.uint64(4) & np.uint64((1 << 28) - 1)).astype(np.int32)]
-    key = (key & ~np.uint64(((1 << 28) - 1) << 4)) | (doc.astype(np.uint64) << np.uint64(4))
-    del keys, doc
+    del keys, sets
+    key = (key & ~(low << four)) | (same[(key >> four & low).astype(np.int32)].astype(np.uint64) << four)
     key.sort()
-    key = key[np.concatenate(([True], key[1:] >> np.uint64(4) != key[:-1] >> np.uint64(4)))]
-    doc, pos = (key >> np.uint64(4) & np.uint64((1 << 28) - 1)).astype(np.int32), (key & np.uint64(15)).astype(np.uint8)
-    key = (key >> np.uint64(32)).astype(np.uint32)
-    start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))).astype(np.int32)
-    length = np.diff(np.append(start, np.int32(len(key))))
-    i = np.flatnonzero(np.repeat(length > 1, length))
-    end = np.repeat(start + length, length)
-    del key
-    out: list[np.ndarray] = []
-    step = 0
-    while len(i):
-        step += 1
-        i = i[i + step < end[i]]
-        for at in range(0, len(i), 1 << 20):
-            u = i[at : at + (1 << 20)]
-            v = u + step
-            a, b, p, q = doc[u].astype(np.int64), doc[v].astype(np.int64), pos[u].astype(np.int64), pos[v].astype(np.int64)
-            x, y = n[a], n[b]
-            need = np.ceil(t / (1 + t) * (x + y) - 1e-9)
-            last = np.minimum(np.minimum(x - 1, ((p + 1) * x + 15) // 16), np.minimum(y - 1, ((q + 1) * y + 15) // 16))
-            left = np.minimum(x - 1 - p * x // 16, y - 1 - q * y // 16)
-            ok = (np.minimum(x, y) >= t * np.maximum(x, y) - 1e-9) & (last + 1 + left >= need) & ((sides[a] | sides[b]) & NEW > 0)
-            pair = np.unique(a[ok] << 32 | b[ok])
-            a, b = pair >> 32, pair & 0xFFFFFFFF
-            apart = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1)
-            out.append(pair[apart <= np.floor((1 - t) / (1 + t) * (n[a] + n[b]) + 1e-9)])
-    pair = np.unique(np.concatenate(out)) if out else np.empty(0, np.int64)
-    return np.stack((ids[pair >> 32], ids[pair & 0xFFFFFFFF]), axis=1)
+    key = key[np.concatenate(([True], key[1:] >> four != key[:-1] >> four))]
+    start = np.flatnonzero(np.concatenate(([True], key[1:] >> np.uint64(32) != key[:-1] >> np.uint64(32))))
+    length = np.diff(np.append(start, len(key)))
+    start, length = start[length > 1], length[length > 1]
+    held_pairs: list[np.ndarray] = []
+    for at, to in runs(length, PAIRS):
+        u = np.repeat(start[at:to] - np.cumsum(length[at:to]) + length[at:to], length[at:to]) + np.arange(length[at:to].sum())
+        end = np.repeat(start[at:to] + length[at:to], length[at:to])
+        mine = (key[u] >> four & low).astype(np.int64)
+        old = mine >= edge[1]
+        u, end, mine, old = (x[mine < edge[2 if crossed else 1]] for x in (u, end, mine, old))
+        for seg in (2, 3) if crossed else (0, 1):
+            look = np.ones(len(u), bool) if seg % 2 == 0 else ~old
+            v, d, stop = u[look], mine[look], end[look]
+            if not len(v) or edge[seg] == edge[seg + 1]:
+                continue
+            sizes = n[edge[seg] : edge[seg + 1]]
+            near = np.searchsorted(sizes, np.ceil(t * n[d] - 1e-9)) + edge[seg]
+            far = np.searchsorted(sizes, np.floor(n[d] / t + 1e-9), side="right") + edge[seg]
+            head = key[v] >> np.uint64(32) << np.uint64(32)
+            lo = np.maximum(v + 1, np.searchsorted(key, head | near.astype(np.uint64) << four))
+            hi = np.minimum(stop, np.searchsorted(key, head | far.astype(np.uint64) << four))
+            some = hi > lo
+            v, lo, many = v[some], lo[some], (hi - lo)[some]
+            for x, y in runs(many, PAIRS):
+                a = np.repeat(v[x:y], many[x:y])
+                b = np.repeat(lo[x:y] - np.cumsum(many[x:y]) + many[x:y], many[x:y]) + np.arange(len(a))
+                held_pairs.append(_filtered(key[a], key[b], n, bits, t))
+            if sum(len(x) for x in held_pairs) > HELD:
+                held_pairs = [np.unique(np.concatenate(held_pairs))]
+                if len(held_pairs[0]) > HELD // 2:
+                    yield _named(held_pairs.pop(), ids)
+    if held_pairs:
+        yield _named(np.unique(np.concatenate(held_pairs)), ids)
+
+
+def _filtered(u: np.ndarray, v: np.ndarray, n: np.ndarray, bits: np.ndarray, t: float) -> np.ndarray:
+    """Different pairs, as one number each, of these entries (key, set, sixteenth) that the filters let pass."""
+    a, b = ((x >> np.uint64(4) & np.uint64((1 << 28) - 1)).astype(np.int64) for x in (u, v))
+    p, q = ((x & np.uint64(15)).astype(np.int64) for x in (u, v))
+    x, y = n[a], n[b]
+    need = np.ceil(t / (1 + t) * (x + y) - 1e-9)
+    last = np.minimum(np.minimum(x - 1, ((p + 1) * x + 15) // 16), np.minimum(y - 1, ((q + 1) * y + 15) // 16))
+    left = np.minimum(x - 1 - p * x // 16, y - 1 - q * y // 16)
+    ok = (np.minimum(x, y) >= t * np.maximum(x, y) - 1e-9) & (last + 1 + left >= need)
+    pair = np.unique(a[ok] << 32 | b[ok])
+    a, b = pair >> 32, pair & 0xFFFFFFFF
+    apart = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1)
+    return pair[apart <= np.floor((1 - t) / (1 + t) * (n[a] + n[b]) + 1e-9)]
+
+
+def _named(pair: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    both = np.stack((ids[pair >> 32], ids[pair & 0xFFFFFFFF]), axis=1)
+    return np.sort(both, axis=1)
+
+
+def _rows(rows: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], names=["part", "block"])
 
 
 def similarities(a: list[str], b: list[str], k: int) -> np.ndarray:
@@ -269,12 +340,13 @@ def texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
     return texts.select("id", "text").join(ids, "id", "left_semi")
 
 
-def similar_texts(texts: DataFrame, threshold: float = 0.8, k: int = 5, *, parts: int | None = None) -> SimilarTexts:
+def similar_texts(texts: DataFrame, threshold: float = 0.8, k: int = 5, *, parts: int | None = None, hot: int | None = None) -> SimilarTexts:
     """All pairs of different shingle sets whose similarity is ``threshold`` or more.
 
     texts: (id long, text string, side int); side NEW for rows to be compared with everything, OLD for rows that are
     compared with new ones only. Ids must be unique. Null, empty and too short texts belong to no class and no pair.
     parts: parts of the key space, by default two for three shuffle partitions, more for large corpora, so that no part grows.
+    hot: texts that may share a first shingle before its sets are salted, by default as HOT and HOT_MEAN say.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
@@ -288,6 +360,7 @@ def similar_texts(texts: DataFrame, threshold: float = 0.8, k: int = 5, *, parts
     parts = parts or max(1, 2 * shuffle_partitions(spark) // 3, -(-int(counts.sum()) // PART))
     classes = profile.where("block is null").select("class", "id", "side")
     total = classes.count()
+    blocks_of = salts(counts, hot)
     ranks = spark.sparkContext.broadcast(np.minimum(255, 8 * np.log2(1 + counts)).astype(np.uint8))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,18 +381,28 @@ def similar_texts(texts: DataFrame, threshold: float = 0.8, k: int = 5, *, parts
                     some = one[lo + at : lo + end]
                     picked = np.concatenate([h[offsets[i] : offsets[i + 1]] for i in some])
                     ends = np.concatenate(([0], np.cumsum(sizes[lo + at : lo + end])))
-                    doc, key, lead, pos = join_keys(ends, picked, ranks.value, total, threshold)
-                    made.append(((doc + at).astype(np.int32), key.astype(np.uint32), ((lead >> np.uint64(24)) % np.uint64(parts)).astype(np.int32), pos.astype(np.int32)))
+                    doc, key, lead, rank, pos = join_keys(ends, picked, ranks.value, total, threshold)
+                    doc, key, pos, often = (doc + at).astype(np.int32), key.astype(np.uint32), pos.astype(np.int32), blocks_of[rank] > 1
+                    made.append(((doc, key, ((lead >> np.uint64(24)) % np.uint64(parts)).astype(np.int32), pos), often, lead[often], blocks_of[rank[often]]))
                     bits.append(bitmaps(ends, picked))
                 sets = (print_of[one[lo:hi]].view(np.int64), sizes[lo:hi], sides[lo:hi], np.concatenate(bits))
-                rows = list(pack(parts, sets, *(np.concatenate(x) for x in zip(*made))))
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["part", "block"])
-
-    def meet(table: pa.Table) -> pa.Table:
-        both = meeting_pairs(table["block"].to_pylist(), threshold)
-        return pa.table({"class_a": both[:, 0], "class_b": both[:, 1]})
-
-    met = texts.mapInArrow(keys, "part int, block binary").groupBy("part").applyInArrow(meet, "class_a long, class_b long").distinct()
+                yield from _rows(list(pack(parts, sets, *(np.concatenate([x[~often] for x, often in zip(c, [m[1] for m in made])]) for c in zip(*(m[0] for m in made))))))
+                doc, key, pos = (np.concatenate([m[0][i][m[1]] for m in made]) for i in (0, 1, 3))
+                if len(doc):
+                    rows, held = [], 0
+                    for row in pack_salted(sets, doc, key, np.concatenate([m[2] for m in made]), np.concatenate([m[3] for m in made]), pos):
+                        rows.append(row)
+                        held += len(row[1])
+                        if held > CHUNK:
+                            yield from _rows(rows)
+                            rows, held = [], 0
+                    yield from _rows(rows)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for both in meeting_pairs([x for batch in batches for x in batch["block"].to_pylist()], threshold):
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["class_a", "class_b"])
+
+    met = texts.mapInArrow(keys, "part long, block binary").groupBy("part").applyInArrow(meet, "class_a long, class_b long").distinct()
     one = classes.groupBy("class").agg(F.min("id").alias("id"))
     side = lambda x: one.select(F.col("class").alias(f"class_{x}"), F.col("id").alias(f"id_{x}"))
     candidates = cut_lineage(met.join(side("a"), "class_a").join(side("b"), "class_b"))

@@ -58,6 +58,58 @@ def test_pairs_equal_brute_force(spark, threshold, k):
     assert got == want
 
 
+def family(n, seed):
+    """Texts with one to three of up to 30 words exchanged: they share first shingles, but many are not similar."""
+    r, base, out = random.Random(seed), [f"b{i}" for i in range(30)], []
+    for _ in range(n):
+        w = base[: r.randint(20, 30)]
+        for _ in range(r.randint(1, 3)):
+            w[r.randrange(len(w))] = f"w{r.randrange(400)}"
+        out.append(" ".join(w))
+    return out
+
+
+def test_hot_family_is_salted_and_equals_brute_force(spark):
+    texts = family(90, 5) + corpus(60, 6)
+    sets = [plain(x, 3) for x in texts]
+    side = [N.OLD if i % 3 else N.NEW for i in range(len(texts))]
+    df = spark.createDataFrame([(i, x, s) for i, (x, s) in enumerate(zip(texts, side))], "id long, text string, side int")
+    found = N.similar_texts(df, 0.6, 3, hot=8)
+    first = {r["class"]: r.id for r in found.classes.groupBy("class").agg({"id": "min"}).withColumnRenamed("min(id)", "id").collect()}
+    new = {r["class"] for r in found.classes.where(f"side = {N.NEW}").collect()}
+    got = {tuple(sorted((first[r.class_a], first[r.class_b]))) for r in found.links.collect()}
+    ids = {i: c for c, i in first.items()}
+    want = {(i, j) for i in ids for j in ids if i < j and (ids[i] in new or ids[j] in new) and similarity(sets[i], sets[j]) >= 0.6 - 1e-12}
+    assert got == want and len(want) > 100
+
+
+def test_hot_keys_meet_in_bounded_cells(monkeypatch):
+    texts = family(400, 7)
+    offsets, h = S.shingles(texts, 3)
+    counts = np.bincount((h & np.uint64((1 << N.SKETCH_BITS) - 1)).astype(np.int64), minlength=1 << N.SKETCH_BITS)
+    blocks_of = N.salts(counts, 32)
+    assert N.salts(counts).max() > 1 and N.salts(counts)[8 * 12] == 1
+    doc, key, lead, rank, pos = N.join_keys(offsets, h, np.minimum(255, 8 * np.log2(1 + counts)).astype(np.uint8), len(texts), 0.6)
+    side = np.where(np.arange(len(texts)) % 4 == 0, N.NEW, N.OLD)
+    docs = (S.fingerprints(offsets, h).view(np.int64), np.diff(offsets), side, N.bitmaps(offsets, h))
+    whole = list(N.pack(1, docs, doc, key.astype(np.uint32), np.zeros(len(doc), np.int32), pos))
+    hot = blocks_of[rank] > 1
+    cells = {}
+    for at, block in N.pack_salted(docs, doc[hot], key[hot].astype(np.uint32), lead[hot], blocks_of[rank[hot]], pos[hot]):
+        cells.setdefault(at, []).append(block)
+    cold = list(N.pack(1, docs, doc[~hot], key[~hot].astype(np.uint32), np.zeros((~hot).sum(), np.int32), pos[~hot]))
+    assert max(sum(len(N.unpack(x)[0]) for x in c) for c in cells.values()) <= 100
+    named = lambda blocks: {tuple(x) for both in N.meeting_pairs(blocks, 0.6) for x in both.tolist()}
+    want = named([x for _, x in whole])
+    sides = dict(zip(docs[0].tolist(), side.tolist()))
+    assert set().union(*map(named, [*cells.values(), [x for _, x in cold]])) == want
+    assert want and all(N.NEW in (sides[a], sides[b]) for a, b in want)
+    monkeypatch.setattr(N, "PAIRS", 256)
+    monkeypatch.setattr(N, "HELD", 512)
+    parts = [len(x) for x in N.meeting_pairs([x for _, x in whole], 0.6)]
+    assert len(parts) > 2 and named([x for _, x in whole]) == want
+
+
 def test_long_texts_and_hot_copies(spark):
     long = " ".join(f"t{i}" for i in range(4000))
     texts = [long, long.replace("t17 ", "u "), *["hot copy of one text again"] * 40]
