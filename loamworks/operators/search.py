@@ -10,10 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from loamworks.operators.lineage import cut_lineage
+
 #: Questions that one task multiplies with its vectors at a time, and vectors of one block.
 QUESTIONS, VECTORS = 1024, 65_536
 #: Rows of the bounded sample that an index is fitted on.
 SAMPLE = 50_000
+#: Values of a column up to which their block counts are sent to every task instead of shuffling vectors.
+FEW_SPACES = 100_000
 _FOUND = "qid long, id long, score double"
 
 
@@ -82,14 +86,17 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("qid", "rank", "id", "score")
 
 
-def top_k(questions: DataFrame, vectors: DataFrame, k: int = 5, half: bool = False) -> DataFrame:
+def top_k(questions: DataFrame, vectors: DataFrame, k: int = 5, half: bool = False, by: str | None = None) -> DataFrame:
     """(qid, rank, id, score) of questions (qid, vector) over vectors (id, vector), exact.
 
     Both sides are cut into blocks of bounded size; each pair of blocks is one matrix product in one task that gives k
-    rows for each question, so no task holds more than two blocks. Null and zero vectors match nothing.
+    rows for each question, so no task holds more than two blocks. Null and zero vectors match nothing. by: a column of both sides, if a question
+    looks only at the vectors that have its value there; null matches nothing.
     """
     if k < 1:
         return questions.sparkSession.createDataFrame([], "qid long, rank int, id long, score double")
+    if by is not None:
+        return _ranked(_found_by(questions, vectors, k, half, by), k)
     questions = questions.where("vector is not null").select(F.col("qid").cast("long"), "vector")
     vectors = vectors.where("vector is not null").select(F.col("id").cast("long"), "vector")
     n_q = max(1, -(-questions.count() // QUESTIONS))
@@ -101,6 +108,25 @@ def top_k(questions: DataFrame, vectors: DataFrame, k: int = 5, half: bool = Fal
     return _ranked(found, k)
 
 
+def _found_by(questions: DataFrame, vectors: DataFrame, k: int, half: bool, by: str) -> DataFrame:
+    """As top_k, with the blocks cut within each value of a column."""
+
+    def cut(rows: DataFrame, name: str, most: int) -> tuple[DataFrame, DataFrame]:
+        rows = rows.where(F.col("vector").isNotNull() & F.col(by).isNotNull()).select(F.col(name).cast("long"), "vector", F.col(by).alias("space"))
+        sizes = cut_lineage(rows.groupBy("space").agg(F.expr(f"cast(ceil(count(*) / {most}) as int)").alias("n")))
+        return rows, F.broadcast(sizes) if sizes.count() <= FEW_SPACES else sizes
+
+    (asked, n_q), (held, n_v) = cut(questions, "qid", QUESTIONS), cut(vectors, "id", VECTORS)
+    both = lambda rows: rows.join(n_q.withColumnRenamed("n", "n_q"), "space").join(n_v.withColumnRenamed("n", "n_v"), "space")
+    block = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    named = lambda *names: [F.col(x).alias(x) for x in names]
+    left = both(asked).select(block("qid", "n_q").alias("qb"), each("n_v").alias("vb"), *named("space", "qid", "vector"))
+    right = both(held).select(each("n_q").alias("qb"), block("id", "n_v").alias("vb"), *named("space", "id", "vector"))
+    keys = ("space", "qb", "vb")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(lambda a, b: best_of(a, b, k, half), _FOUND)
+
+
 class Index:
     """Inverted lists around centroids: a question looks at the lists of its nearest centroids only."""
 

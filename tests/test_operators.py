@@ -149,6 +149,20 @@ def test_top_k_by_blocks(spark, monkeypatch):
     assert V.top_k(asked, held, 3, half=True).count() == 27
 
 
+def test_filtered_top_k_serves_every_label(spark, tmp_path, monkeypatch):
+    from loamworks import queries as Q
+
+    v = np.random.default_rng(2).normal(size=(200, 4))
+    labels = [None if i == 40 else (-3, 5, 10, 1000)[i // 20 % 4] for i in range(200)]
+    spark.createDataFrame([(i, [float(x) for x in row], g) for i, (row, g) in enumerate(zip(v, labels))], "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    monkeypatch.setattr(V, "QUESTIONS", 2)
+    monkeypatch.setattr(V, "VECTORS", 16)
+    got = {(r.qid, r.id) for r in Q.queries()["v02_filtered_topk"](spark, str(tmp_path)).collect()}
+    mine = {g: [i for i in range(200) if labels[i] == g] for g in labels}
+    want = {(i, mine[g][j]) for i, g in enumerate(labels) if i % 20 == 0 and g is not None for _, j in exact(v[i : i + 1].astype(np.float32).astype(float), v[mine[g]].astype(np.float32).astype(float), 5)}
+    assert got == want and len(want) == 45
+
+
 def test_index_recall(spark):
     rng = np.random.default_rng(3)
     centre = rng.normal(size=(12, 16))
