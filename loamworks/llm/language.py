@@ -8,6 +8,7 @@ and what is left in one language is a stretch.
 
 from __future__ import annotations
 
+import heapq
 import re
 import unicodedata
 from collections import Counter, defaultdict
@@ -160,7 +161,7 @@ def stretches(parts: list[tuple[int, int, float]], least: list[int]) -> list[tup
             runs[-1][2] += weight
         else:
             runs.append([lang, size, weight])
-    kept = _merged([x for x in runs if x[1] >= least[x[0]]])
+    kept = _merged([x for x in _absorbed(runs, least) if x[1] >= least[x[0]]])
     if not kept and runs:
         total: dict[int, list] = {}
         for lang, size, weight in runs:
@@ -172,6 +173,31 @@ def stretches(parts: list[tuple[int, int, float]], least: list[int]) -> list[tup
     return [tuple(x) for x in kept]
 
 
+def _absorbed(runs: list[list], least: list[int]) -> list[list]:
+    """Runs in which no short one stands between two of one language: it goes, smallest first, and its neighbours are one."""
+    if all(x[1] >= least[x[0]] for x in runs):
+        return runs
+    runs, n = [list(x) for x in runs], len(runs)
+    before, after, gone = list(range(-1, n - 1)), list(range(1, n + 1)), [False] * n
+    heap = [(x[1] / least[x[0]], i) for i, x in enumerate(runs) if x[1] < least[x[0]]]
+    heapq.heapify(heap)
+    while heap:
+        size, i = heapq.heappop(heap)
+        a, b = before[i], after[i]
+        if gone[i] or size != runs[i][1] / least[runs[i][0]] or a < 0 or b == n or runs[a][0] != runs[b][0]:
+            continue
+        runs[a][1] += runs[b][1]
+        runs[a][2] += runs[b][2]
+        gone[i] = gone[b] = True
+        after[a] = after[b]
+        if after[b] < n:
+            before[after[b]] = a
+        for x in (before[a], a, after[a]):
+            if 0 <= x < n and runs[x][1] < least[runs[x][0]]:
+                heapq.heappush(heap, (runs[x][1] / least[runs[x][0]], x))
+    return [x for x, out in zip(runs, gone) if not out]
+
+
 def _merged(runs: list[list]) -> list[list]:
     out: list[list] = []
     for x in runs:

@@ -154,3 +154,13 @@ def test_label_table(spark):
     assert L.mislabelled(docs.limit(0), samples, notations).count() == 0
     with pytest.raises(ValueError):
         L.fit(samples.limit(0))
+
+
+def test_short_pieces_are_absorbed_before_the_least_size_applies():
+    from loamworks.llm.language import stretches
+
+    sizes = lambda *parts: [(x, n) for x, n, _ in stretches([(x, n, float(n)) for x, n in parts], [20, 20])]
+    assert sizes((0, 100), (1, 15), (0, 5), (1, 15)) == [(0, 100), (1, 30)]
+    assert sizes((0, 100), (1, 15), (0, 5), (1, 15), (0, 100)) == [(0, 100), (1, 30), (0, 100)]
+    assert sizes((0, 100), (1, 15), (0, 100)) == [(0, 200)] and sizes((0, 100), (1, 15)) == [(0, 100)]
+    assert sizes((0, 30), (1, 5), (0, 10), (1, 8), (0, 2), (1, 7)) == [(0, 40)]
