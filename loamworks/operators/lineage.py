@@ -1,19 +1,29 @@
-"""Cutting the lineage of iterative plans."""
+"""Cutting the lineage of iterative plans, and the folder that intermediate tables go to."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names.
+
+    Where it is unset, a local session gets a temporary folder; a cluster raises, as its machines share none.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
+        folder = tempfile.mkdtemp(prefix="spark-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder that ``spark.checkpoint.dir`` names; a temporary one only where it is unset."""
-    spark = df.sparkSession
-    context = spark.sparkContext
+    """Reliable checkpoint in the shared folder."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            import tempfile
-
-            folder = tempfile.mkdtemp(prefix="spark-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
