@@ -1,52 +1,87 @@
-"""New batches against everything accepted before: full copies, shared paragraphs, near copies.
+"""New batches against everything accepted before, by tables of hashes that each batch is joined with and appended to.
 
-Full copies are found by content hash, copied paragraphs by paragraph hash: each hash of the history points to its
-first holder, so a hash that a third of all texts share costs one row, and the holder that covers most of an arrival
-is compared with it exactly. Edits inside every paragraph leave no equal paragraph hash, so what is left goes through
-the n-gram join of ``near_duplicates``, which finds the rest. Each step removes the arrivals it settles.
+``History`` keeps what it needs of the accepted texts in bucketed tables, so that no batch reads or shuffles their texts
+again: content hashes, fingerprints of the normalised content, paragraph hashes with their holders, and the prefix keys
+of ``near_duplicates``. A batch is settled in steps, and each step sees only what the one before left open:
+
+1. content hash or normalised content that is booked: bucket-local semi-joins;
+2. paragraphs: the holder that shares most of an arrival's words is compared with it exactly. A paragraph of very many
+   holders points to its first one only; what that loses is left to the next step;
+3. prefix keys, cut by the order that the first batch fixed: every pair that is similar enough. Edits inside every
+   paragraph leave no equal hash, so paragraph hashes alone, the named method, cannot give these;
+4. arrivals among themselves, in order of arrival.
+
+What is accepted is appended, its content hash last. A batch that broke off before may be given again: the tables then
+hold some rows twice, which changes no result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+import uuid
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamworks.llm.common import content_hash, cut_lineage, normalised_url
-from loamworks.llm.near_duplicates import NEW, OLD, similar_texts, similarities, texts_of
+from loamworks.llm import near_duplicates as N
+from loamworks.llm import shingles as S
+from loamworks.llm.common import content_hash, cut_lineage, normalised_url, shared_folder, shuffle_partitions
+
+#: Holders of a paragraph up to which each of them is looked at.
+HOLDERS = 64
+#: Files of one append up to which tasks write their buckets without a shuffle.
+FILES = 20_000
+TABLES = {
+    "hashes": ("content_hash string", "content_hash"),
+    "contents": ("class long, id long", "class"),
+    "paragraphs": ("paragraph long, id long, words int", "paragraph"),
+    "keys": ("batch string, part long, block binary", "part"),
+}
+_READ = "id long, class long, paragraph long, words int, block int, bits binary"
+
 
+def at_once(*jobs: Callable[[], None]) -> None:
+    """Run jobs that don't depend on each other beside each other."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(x) for x in jobs]:
+            done.result()
 
-def paragraph_hashes(texts: DataFrame) -> DataFrame:
-    """(id, paragraph, words) for each distinct paragraph of (id, text): hash of its lower-cased letters and digits."""
-    parts = texts.select("id", F.explode(F.split(F.lower("text"), r"\n\s*\n")).alias("p"))
-    plain = parts.select("id", F.trim(F.regexp_replace("p", r"[^\p{L}\p{N}]+", " ")).alias("p")).where("p <> ''")
-    return plain.select("id", F.xxhash64("p").alias("paragraph"), F.size(F.split("p", " ")).alias("words")).distinct()
 
+def read_texts(texts: DataFrame, k: int, bits: int | None = None) -> DataFrame:
+    """One reading of (id, text): rows (id, class) of each text that has shingles, (id, paragraph, words) of each distinct
+    paragraph, and with bits (block, bits) of the sketch of the shingles' counts."""
 
-def covered_by_paragraphs(new: DataFrame, old: DataFrame, booked: DataFrame, threshold: float, k: int) -> DataFrame:
-    """(id) of the texts of new whose best holder of shared paragraphs, of the booked ids in old, is similar enough."""
-    holder = paragraph_hashes(old).join(booked, "id", "left_semi").groupBy("paragraph").agg(F.min("id").alias("holder"))
-    shared = paragraph_hashes(new).join(holder, "paragraph").groupBy("id", "holder").agg(F.sum("words").alias("words"))
-    best = cut_lineage(shared.groupBy("id").agg(F.max_by("holder", F.struct("words", "holder")).alias("holder")))
-    mine = texts_of(new, best).select("id", F.col("text").alias("text_a"))
-    theirs = texts_of(old, best.select(F.col("holder").alias("id"))).select(F.col("id").alias("holder"), F.col("text").alias("text_b"))
+    def rows(**columns) -> pa.RecordBatch:
+        n = len(next(iter(columns.values())))
+        kinds = {"id": pa.int64(), "class": pa.int64(), "paragraph": pa.int64(), "words": pa.int32(), "block": pa.int32(), "bits": pa.binary()}
+        return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in kinds.items()], names=list(kinds))
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << (bits or 0), np.uint32)
         for batch in batches:
-            value = similarities(batch["text_a"].to_pylist(), batch["text_b"].to_pylist(), k)
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(value)], names=["id", "similarity"])
+            offsets, h, doc, paragraph, words = S.with_paragraphs(batch["text"].to_pylist(), k)
+            ids, some = np.asarray(batch["id"]), np.flatnonzero(np.diff(offsets) > 0)
+            if bits:
+                N.add_to_sketch(counts, h)
+            yield rows(id=ids[some], **{"class": S.fingerprints(offsets, h).view(np.int64)[some]})
+            yield rows(id=ids[doc], paragraph=paragraph.view(np.int64), words=words)
+        if bits:
+            for block, part in N.sketch_rows(counts):
+                yield rows(block=[block], bits=[part])
 
-    pairs = best.join(mine, "id").join(theirs, "holder").select("id", "text_a", "text_b")
-    return pairs.mapInArrow(verify, "id long, similarity double").where(F.col("similarity") >= threshold - 1e-12).select("id")
+    return cut_lineage(texts.select("id", "text").mapInArrow(run, _READ))
 
 
 def first_come(nodes_links: DataFrame) -> DataFrame:
     """(node) of the nodes that an earlier kept node covers, from links (early, late) with comparable values.
 
-    A node is kept unless linked to an earlier kept one. Each round settles all nodes without an unsettled earlier
-    neighbour, in joins; the number of rounds is the longest chain of such dependencies, not the number of nodes.
+    A node is kept unless linked to an earlier kept one. Each round settles, in joins, all nodes without an unsettled
+    earlier neighbour. The rounds are as many as the longest chain of such dependencies, which for n nodes in random
+    order is O(log(n)^2) with high probability, whatever the links (Blelloch, Fineman and Shun, 2012).
     """
     links = cut_lineage(nodes_links.select("early", "late").distinct())
     covered: list[DataFrame] = []
@@ -55,82 +90,187 @@ def first_come(nodes_links: DataFrame) -> DataFrame:
         kept = links.select("early").distinct().join(late, "early", "left_anti")
         hit = cut_lineage(links.join(kept, "early", "left_semi").select("late").distinct())
         covered.append(hit.select(F.col("late").alias("node")))
-        gone = hit.select(F.col("late").alias("early"))
-        links = cut_lineage(links.join(kept, "early", "left_anti").join(gone, "early", "left_anti").join(hit, "late", "left_anti").select("early", "late"))
+        gone = kept.unionByName(hit.select(F.col("late").alias("early")))
+        links = cut_lineage(links.join(gone, "early", "left_anti").join(hit, "late", "left_anti").select("early", "late"))
     out = links.select(F.col("early").alias("node"))
     for x in covered:
         out = out.unionByName(x)
     return out
 
 
-def repeated_arrivals(arrivals: DataFrame, ledger: DataFrame, kept: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame:
-    """(arrival_id) of the arrivals that repeat or nearly repeat something accepted before them.
+class History:
+    """Everything accepted, as bucketed tables in a folder that all executors reach.
 
-    arrivals: (arrival_id, batch_no, text, source_url), in order of batch_no (null first) and arrival_id.
-    ledger: (content_hash) of all accepted before; kept: (chunk_no, text, content_hash), of which those in the ledger count.
-    A null text or URL has no hash; a text of fewer than k words is near no other. Extra columns are ignored. An empty
-    ledger or no kept texts is fine.
+    A folder that holds a history is opened again with the threshold, the length of shingles and the buckets it was made
+    with. The order of shingles is that of the first append; a history that has grown many times over works on with it,
+    only with more candidates, and is best rebuilt.
     """
-    ledger = ledger.select("content_hash").where("content_hash is not null").distinct()
-    batch = arrivals.select("arrival_id", F.coalesce(F.col("batch_no").cast("long"), F.lit(-(2**31))).alias("batch_no"), "text", content_hash(normalised_url(F.col("source_url")), F.col("text")).alias("content_hash"))
-    keys = cut_lineage(batch.drop("text"))
-    booked = keys.join(ledger, "content_hash", "left_semi").select("arrival_id")
-    rest = cut_lineage(keys.join(ledger, "content_hash", "left_anti"))
-    # Texts are searched as they are read; which of them count is settled by their ids, so no text is shuffled for it.
-    new = batch.select((F.col("arrival_id") * 2 + 1).alias("id"), "text")
-    old = kept.select((F.col("chunk_no") * 2).alias("id"), "text")
-    counts = cut_lineage(kept.select((F.col("chunk_no") * 2).alias("id"), "content_hash").join(ledger, "content_hash", "left_semi").select("id"))
-    copied = cut_lineage(covered_by_paragraphs(new, old, counts, threshold, k).where("id is not null"))
-    found = similar_texts(new.select("id", "text", F.lit(NEW).alias("side")).unionByName(old.select("id", "text", F.lit(OLD).alias("side"))), threshold, k)
-    when = F.struct("batch_no", "arrival_id")
-    settled = copied.select(((F.col("id") - 1) / 2).cast("long").alias("arrival_id")).join(rest, "arrival_id", "left_semi")
-    open_ = rest.select("arrival_id", "batch_no").join(settled, "arrival_id", "left_anti")
-    mine = found.classes.where(F.col("side") == NEW).select("class", ((F.col("id") - 1) / 2).cast("long").alias("arrival_id")).join(open_, "arrival_id")
-    mine = cut_lineage(mine.select("class", "arrival_id", when.alias("at")))
-    past = found.classes.where(F.col("side") == OLD).join(counts, "id", "left_semi").select("class").distinct()
-    links = cut_lineage(found.links.select("class_a", "class_b"))
-    both_ways = links.select(F.col("class_a").alias("class"), F.col("class_b").alias("other")).unionByName(links.select(F.col("class_b").alias("class"), F.col("class_a").alias("other")))
-    near_old = cut_lineage(both_ways.join(past.select(F.col("class").alias("other")), "other", "left_semi").select("class").unionByName(past).distinct())
-    first = mine.join(near_old, "class", "left_anti").groupBy("class").agg(F.min("at").alias("at"))
-    edges = links.join(first.select(F.col("class").alias("class_a"), F.col("at").alias("at_a")), "class_a").join(first.select(F.col("class").alias("class_b"), F.col("at").alias("at_b")), "class_b")
-    covered = first_come(edges.select(F.least("at_a", "at_b").alias("early"), F.greatest("at_a", "at_b").alias("late")))
-    late = first.join(covered, first["at"] == covered["node"], "left_semi").select("class")
-    near = mine.join(near_old.unionByName(late), "class", "left_semi").select("arrival_id")
-    again = mine.join(first.select("class", F.col("at").alias("first_at")), "class").where("at > first_at").select("arrival_id")
-    by_hash = rest.where("content_hash is not null").select("arrival_id", "content_hash", when.alias("at"))
-    same = by_hash.join(by_hash.groupBy("content_hash").agg(F.min("at").alias("first_at"), F.count("*").alias("n")).where("n > 1"), "content_hash").where("at > first_at").select("arrival_id")
-    return booked.unionByName(settled).unionByName(near).unionByName(again).unionByName(same).distinct()
 
+    def __init__(self, spark: SparkSession, folder: str, threshold: float = 0.8, k: int = 5, buckets: int | None = None) -> None:
+        if not 0 < threshold <= 1:
+            raise ValueError("threshold must be in (0, 1]")
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self.threshold, self.k, self.buckets, self._order = threshold, k, buckets or shuffle_partitions(spark), None
+        self._name = f"history_{hashlib.sha256(self.folder.encode()).hexdigest()[:16]}"
+        try:
+            row = spark.read.parquet(f"{self.folder}/order").first()
+        except Exception as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            row = None
+        if row:
+            self.threshold, self.k, self.buckets = row["threshold"], row["k"], row["buckets"]
+            ranks, parts, blocks = (np.frombuffer(bytes(row[x]), t) for x, t in (("ranks", np.uint8), ("parts", np.int64), ("blocks", np.int64)))
+            self._order = N.Order(ranks, row["texts"], parts, blocks)
 
-class History:
-    """The hashes of everything accepted, in bucketed tables that each batch is joined with and appended to.
+    def table(self, kind: str) -> DataFrame:
+        name = f"{self._name}_{kind}"
+        if not self.spark.catalog.tableExists(name):
+            columns, key = TABLES[kind]
+            self.spark.sql(f"create table {name} ({columns}) using parquet clustered by ({key}) into {self.buckets} buckets location '{self.folder}/{kind}'")
+        return self.spark.table(name)
 
-    ``{name}_hashes`` (content_hash) and ``{name}_paragraphs`` (paragraph, id, words) are bucketed by their hash, so a
-    batch is compared bucket by bucket without reading any text of the history or shuffling it.
-    """
+    def _write(self, kind: str, rows: DataFrame) -> None:
+        columns = self.table(kind).columns
+        if rows.rdd.getNumPartitions() * self.buckets > FILES:
+            rows = rows.repartition(self.buckets, TABLES[kind][1])
+        rows.select(*columns).write.insertInto(f"{self._name}_{kind}")
+
+    def _fit(self, read: DataFrame, bits: int) -> None:
+        texts = read.where("class is not null").count()
+        self._order = N.fit_order(read.where("block is not null").select("block", "bits"), bits, texts, self.buckets)
+        o = self._order
+        row = (o.ranks.tobytes(), o.texts, o.parts.tobytes(), o.blocks.tobytes(), self.threshold, self.k, self.buckets)
+        self.spark.createDataFrame([row], "ranks binary, texts long, parts binary, blocks binary, threshold double, k int, buckets int").write.mode("overwrite").parquet(f"{self.folder}/order")
+
+    def _book(self, read: DataFrame, ids: DataFrame, hashes: DataFrame, *first: Callable[[], None]) -> None:
+        """Append what read holds of the given ids, beside the jobs of first, and the content hashes, last."""
+        mine = read.join(ids, "id", "left_semi")
+        new = mine.where("class is not null").groupBy("class").agg(F.min("id").alias("id"))
+        fresh = hashes.select("content_hash").where("content_hash is not null").distinct()
+        at_once(
+            *first,
+            lambda: self._write("paragraphs", mine.where("paragraph is not null")),
+            lambda: self._write("contents", new.join(self.table("contents").select("class"), "class", "left_anti")),
+        )
+        self._write("hashes", fresh.join(self.table("hashes"), "content_hash", "left_anti"))
+
+    def append(self, texts: DataFrame, accepted: DataFrame, hashes: DataFrame) -> None:
+        """Book the texts (id, text) of the accepted (id), and the content hashes (content_hash).
+
+        Ids are unique over all that is ever appended or checked. Texts that aren't accepted stay unknown; they are told
+        apart by their ids, so that no text is shuffled.
+        """
+        texts = texts.select(F.col("id").cast("long"), "text")
+        bits = N.sketch_bits(texts.count()) if self._order is None else None
+        read = read_texts(texts, self.k, bits)
+        if bits:
+            self._fit(read, bits)
+        self._book(read, accepted.select("id"), hashes, lambda: self._write("keys", self._keys(texts, "old")))
+
+    def _keys(self, texts: DataFrame, batch: str) -> DataFrame:
+        blocks = N.key_blocks(texts.withColumn("side", F.lit(N.NEW)), self._order, self.threshold, self.k)
+        return blocks.withColumn("batch", F.lit(batch))
+
+    def copies(self, rows: DataFrame) -> DataFrame:
+        """Rows (content_hash, class, …) with the column evidence: hash, where that is booked, content, where the class is, else null."""
+        same = self.table("hashes").distinct().withColumn("same", F.lit(True))
+        alike = self.table("contents").select("class").distinct().withColumn("alike", F.lit(True))
+        both = rows.join(same, "content_hash", "left").join(alike, "class", "left")
+        return both.withColumn("evidence", F.when(F.col("same"), "hash").when(F.col("alike"), "content")).drop("same", "alike")
 
-    def __init__(self, spark: SparkSession, name: str, buckets: int = 64) -> None:
-        self.spark, self.name, self.buckets = spark, name, buckets
-
-    def append(self, accepted: DataFrame) -> None:
-        """Book accepted rows (id, text, source_url); a hash that is booked already is not written again."""
-        rows = accepted.select("id", "text", content_hash(normalised_url(F.col("source_url")), F.col("text")).alias("content_hash"))
-        fresh = rows.select("content_hash").where("content_hash is not null").distinct()
-        if self.spark.catalog.tableExists(f"{self.name}_hashes"):
-            fresh = fresh.join(self.spark.table(f"{self.name}_hashes"), "content_hash", "left_anti")
-        fresh = cut_lineage(fresh)
-        new = rows.join(fresh, "content_hash", "left_semi")
-        for df, table, key in ((paragraph_hashes(new.select("id", "text")), "paragraphs", "paragraph"), (fresh, "hashes", "content_hash")):
-            df.write.mode("append").format("parquet").bucketBy(self.buckets, key).sortBy(key).saveAsTable(f"{self.name}_{table}")
-
-    def copies(self, batch: DataFrame) -> DataFrame:
-        """(id) of the rows (id, text, source_url) of a batch whose content hash is booked."""
-        rows = batch.select("id", content_hash(normalised_url(F.col("source_url")), F.col("text")).alias("content_hash"))
-        return rows.join(self.spark.table(f"{self.name}_hashes"), "content_hash", "left_semi").select("id")
-
-    def coverage(self, batch: DataFrame) -> DataFrame:
-        """(id, coverage): share of each text's words that stand in booked paragraphs, for texts that have words."""
-        own = paragraph_hashes(batch.select("id", "text"))
-        booked = own.join(self.spark.table(f"{self.name}_paragraphs").select("paragraph"), "paragraph", "left_semi").select("id", "paragraph", F.col("words").alias("seen"))
-        both = own.join(booked, ["id", "paragraph"], "left")
-        return both.groupBy("id").agg((F.sum(F.coalesce("seen", F.lit(0))) / F.sum("words")).alias("coverage"))
+    def holders(self, paragraphs: DataFrame) -> DataFrame:
+        """(id, holder, words): the accepted text that shares the most words in whole paragraphs with each id of (id, paragraph, words)."""
+        held = self.table("paragraphs").join(paragraphs.select("paragraph").distinct(), "paragraph", "left_semi")
+        sizes = held.groupBy("paragraph").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+        few = held.join(sizes.where(F.col("n") <= HOLDERS).select("paragraph"), "paragraph", "left_semi").select("paragraph", F.col("id").alias("holder"))
+        holder = few.unionByName(sizes.where(F.col("n") > HOLDERS).select("paragraph", F.col("first").alias("holder"))).distinct()
+        shared = paragraphs.join(holder, "paragraph").groupBy("id", "holder").agg(F.sum("words").alias("words"))
+        return shared.groupBy("id").agg(F.max_by(F.struct("holder", "words"), F.struct("words", "holder")).alias("x")).select("id", "x.holder", "x.words")
+
+    def _meetings(self, batch: str) -> DataFrame:
+        """(class_a, class_b, both): pairs of a class of the batch and another one, of the batch too (both) or accepted, that may be similar."""
+        threshold = self.threshold
+
+        def meet(new: pa.Table, old: pa.Table) -> pa.Table:
+            mine, theirs = new["block"].to_pylist(), old["block"].to_pylist()
+            found = list(N.meeting_pairs(mine + theirs, threshold, old=len(theirs))) if mine else []
+            both = np.concatenate(found) if found else np.empty((0, 2), np.int64)
+            is_new = np.isin(both, np.unique(np.concatenate([N.unpack(x)[0] for x in mine])) if mine else [])
+            a = np.where(is_new[:, 0], both[:, 0], both[:, 1])
+            return pa.table({"class_a": a, "class_b": both.sum(axis=1) - a, "both": is_new.all(axis=1)})
+
+        keys = self.table("keys")
+        new, old = keys.where(F.col("batch") == batch).select("part", "block"), keys.where(F.col("batch") != batch).select("part", "block")
+        return new.groupBy("part").cogroup(old.groupBy("part")).applyInArrow(meet, "class_a long, class_b long, both boolean").distinct()
+
+    def check(self, batch: DataFrame, texts: DataFrame) -> DataFrame:
+        """(id, evidence) of the rows (id, at, text, content_hash) of a batch that repeat something accepted or an earlier row of it.
+
+        at: what rows are ordered by, different for each. texts: (id, text) of the accepted, of which only those that an
+        arrival is compared with are read. evidence: hash, content, paragraphs, near or arrival, the first step that
+        settles the row. All other rows are accepted, and booked before this returns.
+        """
+        batch = batch.select(F.col("id").cast("long"), "at", "text", "content_hash")
+        number = uuid.uuid4().hex
+        read = read_texts(batch, self.k, N.sketch_bits(batch.count()) if self._order is None else None)
+        if self._order is None:
+            self._fit(read, N.sketch_bits(batch.count()))
+        named = batch.select("id", "at", "content_hash").join(read.where("class is not null").select("id", "class"), "id", "left")
+        named = cut_lineage(self.copies(named))
+        copied, open_ = named.where("evidence is not null").select("id", "evidence"), named.where("evidence is null").drop("evidence")
+
+        # The holder of most of an arrival's paragraphs is compared with it.
+        own = read.where("paragraph is not null").select("id", "paragraph", "words").join(open_.select("id"), "id", "left_semi")
+        pairs = self.holders(own).join(open_.select("id", "class"), "id").where("class is not null")
+        pairs = cut_lineage(pairs.select(F.col("id").alias("class_a"), F.col("holder").alias("class_b"), F.col("id").alias("id_a"), F.col("holder").alias("id_b")))
+        every = texts.select("id", "text").unionByName(batch.select("id", "text"))
+        shared = cut_lineage(N.verified(pairs, every, self.threshold, self.k).select(F.col("class_a").alias("id"), F.lit("paragraphs").alias("evidence")))
+        open_ = open_.join(shared, "id", "left_anti")
+
+        # What is left open meets the accepted, and itself, in prefix keys.
+        self._write("keys", self._keys(N.texts_of(batch, open_), number))
+        mine = open_.where("class is not null")
+        first = mine.groupBy("class").agg(F.min_by("id", "at").alias("id"), F.min("at").alias("at"))
+        met = cut_lineage(self._meetings(number))
+        of = lambda df, x: df.select(F.col("class").alias(f"class_{x}"), F.col("id").alias(f"id_{x}"))
+        past = met.where("not both").join(of(self.table("contents"), "b"), "class_b")
+        candidates = cut_lineage(past.unionByName(met.where("both").join(of(first, "b"), "class_b")).join(of(first, "a"), "class_a"))
+        links = cut_lineage(N.verified(candidates.select("class_a", "class_b", "id_a", "id_b", "both"), every, self.threshold, self.k).join(candidates.select("class_a", "class_b", "both"), ["class_a", "class_b"]).select("class_a", "class_b", "both"))
+        near_past = links.where("not both").select(F.col("class_a").alias("class")).distinct()
+        near = mine.join(near_past, "class", "left_semi").select("id", F.lit("near").alias("evidence"))
+
+        # Arrivals among themselves: the first of a class stands for it, and an earlier kept one covers a later one.
+        first = cut_lineage(first.join(near_past, "class", "left_anti").select("class", "at"))
+        ends = lambda x: first.select(F.col("class").alias(f"class_{x}"), F.col("at").alias(f"at_{x}"))
+        edges = links.where("both").join(ends("a"), "class_a").join(ends("b"), "class_b")
+        covered = first_come(edges.select(F.least("at_a", "at_b").alias("early"), F.greatest("at_a", "at_b").alias("late")))
+        late = first.join(covered, first["at"] == covered["node"], "left_semi").select("class")
+        again = mine.join(first.select("class", F.col("at").alias("first")), "class").where("at > first").select("id")
+        hashes = open_.where("content_hash is not null")
+        same = hashes.join(hashes.groupBy("content_hash").agg(F.min("at").alias("first"), F.count("*").alias("n")).where("n > 1"), "content_hash").where("at > first").select("id")
+        inside = again.unionByName(same).unionByName(mine.join(late, "class", "left_semi").select("id")).distinct()
+        found = copied.unionByName(shared).unionByName(near).unionByName(inside.join(near, "id", "left_anti").select("id", F.lit("arrival").alias("evidence")))
+        found = cut_lineage(found)
+        kept = named.join(found, "id", "left_anti")
+        self._book(read, kept.select("id"), kept)
+        return found
+
+
+def repeated_arrivals(arrivals: DataFrame, ledger: DataFrame, kept: DataFrame, threshold: float = 0.8, k: int = 5, folder: str | None = None) -> DataFrame:
+    """(arrival_id, evidence) of the arrivals that repeat or nearly repeat something accepted before them.
+
+    arrivals: (arrival_id, batch_no, text, source_url), in order of batch_no (null first) and arrival_id.
+    ledger: (content_hash) of all accepted before; kept: (chunk_no, text, content_hash), of which those in the ledger count.
+    A null text or URL has no hash; a text of fewer than k words is near no other. Extra columns are ignored. An empty
+    ledger or no kept texts is fine. folder: of the history that is made of the ledger and the kept texts; one of its own
+    in the shared folder by default.
+    """
+    spark = arrivals.sparkSession
+    history = History(spark, folder or f"{shared_folder(spark)}/history-{uuid.uuid4().hex}", threshold, k)
+    old = kept.select((F.col("chunk_no") * 2).alias("id"), "text", "content_hash")
+    booked = old.select("id", "content_hash").join(ledger.select("content_hash"), "content_hash", "left_semi").select("id")
+    history.append(old, cut_lineage(booked), ledger)
+    at = F.struct(F.coalesce(F.col("batch_no").cast("long"), F.lit(-(2**31))).alias("batch_no"), F.col("arrival_id").cast("long").alias("arrival_id"))
+    batch = arrivals.select((F.col("arrival_id") * 2 + 1).alias("id"), at.alias("at"), "text", content_hash(normalised_url(F.col("source_url")), F.col("text")).alias("content_hash"))
+    return history.check(batch, old.select("id", "text")).select(((F.col("id") - 1) / 2).cast("long").alias("arrival_id"), "evidence")

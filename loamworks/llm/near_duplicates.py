@@ -7,7 +7,8 @@ of a group's ordered prefix shingles: two shingles where that pair is already ra
 No similar pair is lost, and frequent phrases make no candidates by themselves.
 
 Candidates pass a length and a positional filter where the keys meet, a suffix filter on bitmaps, and one exact
-comparison for each pair. Texts with equal shingle sets form one class and are compared once.
+comparison for each pair. Texts with equal shingle sets form one class and are compared once. A class is named by a
+64-bit fingerprint of its set: among n different sets the odds that any two share one are n * n / 2**65, 3 % at 1e9.
 
 A key meets where its first shingle is dealt to. The sets of a first shingle that more than ``hot`` texts may have are
 salted into blocks of about ``hot`` sets, and each two blocks meet in a cell, a task's worth of its own.
@@ -15,21 +16,24 @@ salted into blocks of about ``hot`` sets, and each two blocks meet in a cell, a
 
 from __future__ import annotations
 
-
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil, log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamworks.llm import shingles as S
 from loamworks.llm.common import cut_lineage, shuffle_partitions
 
+#: Cells of the count sketch: this many bits at least, and enough that two shingles of the mean count are still a rare pair.
 SKETCH_BITS = 20
 SKETCH_BLOCK = 1 << 16
+#: Shingles of a text that the size of the sketch reckons with.
+USUAL = 150
 #: (groups m, least overlap served) of each level; a level serves the pairs up to the least overlap of the one before.
 #: About three shared shingles for each group keep the most frequent shingles of a text out of its keys.
 LEVELS = (*((round(4 * 2.5**i), round(12.4 * 2.5**i)) for i in range(13, -1, -1)), (1, 3), (0, 1))
@@ -41,6 +45,8 @@ AT_ONCE, BLOCK, PART = 300_000, 2_000_000, 2_500_000
 HOT, HOT_MEAN = 4096, 4
 #: Pairs formed at a time, different pairs held before they are passed on, and bytes of salted blocks passed on at a time.
 PAIRS, HELD, CHUNK = 1 << 20, 1 << 21, 1 << 24
+#: Members of a class that one block of the expansion into pairs holds.
+MEMBERS = 1024
 #: Ids up to which a semi-join sends them to every task instead of shuffling texts.
 FEW_IDS = 1_000_000
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -69,11 +75,29 @@ def bitmaps(offsets: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.reshape(n, 256), axis=1)
 
 
-def _profile(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(1 << SKETCH_BITS, np.int64)
+def sketch_bits(texts: int) -> int:
+    """Bits of the sketch for a corpus of so many texts; its size grows with the square root of the corpus."""
+    return max(SKETCH_BITS, ceil(log2(USUAL * max(1, texts) / (RARE * max(1, texts)) ** 0.5)))
+
+
+def sketch_rows(counts: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(block, compressed counts) of each block of a sketch that isn't empty."""
+    for at in range(0, len(counts), SKETCH_BLOCK):
+        part = counts[at : at + SKETCH_BLOCK]
+        if part.any():
+            yield at // SKETCH_BLOCK, zlib.compress(part.tobytes(), 1)
+
+
+def add_to_sketch(counts: np.ndarray, hashes: np.ndarray) -> None:
+    cell, n = np.unique((hashes & np.uint64(len(counts) - 1)).astype(np.int64), return_counts=True)
+    counts[cell] += n.astype(counts.dtype)
+
+
+def _profile(batches: Iterator[pa.RecordBatch], k: int, bits: int) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(1 << bits, np.uint32)
     for batch in batches:
         offsets, h = S.shingles(batch["text"].to_pylist(), k)
-        counts += np.bincount((h & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64), minlength=len(counts))
+        add_to_sketch(counts, h)
         some = np.flatnonzero(np.diff(offsets) > 0)
         yield pa.RecordBatch.from_arrays(
             [
@@ -85,24 +109,65 @@ def _profile(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBat
             ],
             names=["class", "id", "side", "bits", "block"],
         )
-    for at in range(0, len(counts), SKETCH_BLOCK):
-        part = counts[at : at + SKETCH_BLOCK]
-        if part.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary()), pa.array([at // SKETCH_BLOCK], pa.int32())],
-                names=["class", "id", "side", "bits", "block"],
-            )
+    for block, part in sketch_rows(counts):
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.array([part], pa.binary()), pa.array([block], pa.int32())],
+            names=["class", "id", "side", "bits", "block"],
+        )
+
 
+def _sum_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ranks (an eighth of a power of two each) and sum of one block of the sketch, over all tasks' counts."""
+    total, block = np.zeros(SKETCH_BLOCK, np.int64), 0
+    for batch in batches:
+        for x in batch["bits"].to_pylist():
+            total += np.frombuffer(zlib.decompress(x), np.uint32)
+        block = batch["block"][0].as_py() if len(batch) else block
+    ranks = np.minimum(255, 8 * np.log2(1 + total)).astype(np.uint8)
+    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([ranks.tobytes()], pa.binary()), pa.array([int(total.sum())])], names=["block", "ranks", "total"])
 
-def _sum_block(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(zlib.decompress(x), np.int64) for x in table["bits"].to_pylist())
-    return pa.table({"block": table["block"].slice(0, 1), "bits": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
+
+@dataclass(frozen=True)
+class Order:
+    """The order of all shingles, and how the key space is parted. Sets can be compared only if one order cut them.
+
+    Any order loses no pair; one fitted on the corpus makes few candidates. ranks: of each cell of the sketch; texts: of
+    the corpus; parts: labels of the parts of the key space; blocks: those that the sets of a first shingle are salted
+    into, by its rank.
+    """
+
+    ranks: np.ndarray
+    texts: int
+    parts: np.ndarray
+    blocks: np.ndarray
+
+
+def part_labels(spark: SparkSession, parts: int, partitions: int) -> np.ndarray:
+    """Labels of the parts such that Spark's hash deals them evenly to the partitions, in turn."""
+    room, more = -(-parts // partitions), 8
+    while True:
+        rows = spark.range(more * room * partitions).select("id", F.expr(f"pmod(hash(id), {partitions})").alias("at"))
+        some = rows.groupBy("at").agg(F.slice(F.sort_array(F.collect_list("id")), 1, room).alias("ids")).collect()
+        ids = {r["at"]: r["ids"] for r in some if len(r["ids"]) == room}
+        if len(ids) == partitions:
+            return np.array([ids[p % partitions][p // partitions] for p in range(parts)], np.int64)
+        more *= 2
+
+
+def fit_order(sketches: DataFrame, bits: int, texts: int, partitions: int, parts: int | None = None, hot: int | None = None) -> Order:
+    """Order from the sketches (block, bits) of all tasks; the driver gets one byte for each cell."""
+    ranks, total = np.zeros(1 << bits, np.uint8), 0
+    for row in sketches.groupBy("block").applyInArrow(_sum_block, "block int, ranks binary, total long").collect():
+        ranks[row["block"] * SKETCH_BLOCK : (row["block"] + 1) * SKETCH_BLOCK] = np.frombuffer(bytes(row["ranks"]), np.uint8)
+        total += row["total"]
+    parts = parts or partitions * max(1, -(-total // (PART * partitions)))
+    return Order(ranks, texts, part_labels(sketches.sparkSession, parts, partitions), salts(total / len(ranks), hot))
 
 
 def join_keys(offsets: np.ndarray, hashes: np.ndarray, counts: np.ndarray, texts: int, t: float) -> tuple[np.ndarray, ...]:
     """(index of the set, key, key's first shingle, its rank, position of the last shingle) of every join key of these sets.
 
-    counts: a count for each value of the lowest SKETCH_BITS bits, from the whole corpus of so many texts.
+    counts: a count, or its rank, for each value of a shingle's lowest bits, from the whole corpus of so many texts.
     """
     out: list[tuple[np.ndarray, ...]] = []
     size = np.diff(offsets)
@@ -110,7 +175,7 @@ def join_keys(offsets: np.ndarray, hashes: np.ndarray, counts: np.ndarray, texts
         n = size[at : at + S._BATCH]
         h = hashes[offsets[at] : offsets[at + len(n)]]
         doc = np.repeat(np.arange(len(n)), n).astype(np.uint64)
-        rank = counts[(h & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)].astype(np.uint64)
+        rank = counts[(h & np.uint64(len(counts) - 1)).astype(np.int64)].astype(np.uint64)
         low = np.uint64(S.BITS - 8)
         order = np.sort((doc << np.uint64(S.BITS)) | (rank << low) | (h & np.uint64((1 << (S.BITS - 8)) - 1)))
         doc = (order >> np.uint64(S.BITS)).astype(np.int64)
@@ -193,9 +258,12 @@ def pack(part_of: int, docs: tuple[np.ndarray, ...], doc: np.ndarray, key: np.nd
         yield int(x), b"".join(y.tobytes() for y in (head, ids[here], bits[here], size.astype(kind), count.astype(kind), short[lo:hi], q[::2] << 4 | q[1::2]))
 
 
-def salts(counts: np.ndarray, hot: int | None = None) -> np.ndarray:
-    """Blocks, for each rank of a key's first shingle, that its sets are salted into; 1 where they stay together."""
-    hot = hot or max(HOT, HOT_MEAN * int(counts.mean()))
+def salts(counts: np.ndarray | float, hot: int | None = None) -> np.ndarray:
+    """Blocks, for each rank of a key's first shingle, that its sets are salted into; 1 where they stay together.
+
+    counts: those of the sketch, or their mean.
+    """
+    hot = hot or max(HOT, HOT_MEAN * int(np.mean(counts)))
     return np.exp2(np.ceil(np.maximum(0, np.arange(256) / 8 - np.log2(hot)))).astype(np.int64)
 
 
@@ -228,16 +296,18 @@ def unpack(block: bytes) -> tuple[np.ndarray, ...]:
     return ids, bits.reshape(-1, 4), (size >> 2).astype(np.int64), (size & 3).astype(np.uint8), np.full(docs, half, np.uint8), np.repeat(np.arange(docs), count), key, q
 
 
-def meeting_pairs(blocks: list[bytes], t: float) -> Iterator[np.ndarray]:
+def meeting_pairs(blocks: list[bytes], t: float, old: int = 0) -> Iterator[np.ndarray]:
     """Pairs (a, b) of classes that meet in a key and pass the length, the positional and the suffix filter, in batches.
 
+    The sets of the last ``old`` blocks count as old, whatever they were when they were packed.
+
     The sets of a key are ordered by half of the cell, new before old, and size, so that each set has to look at two
     ranges only: new and old ones of the other half (of its own if the cell has one) that are near it in size.
     """
     sets, keys, held = [], [], 0
-    for x in blocks:
+    for no, x in enumerate(blocks):
         ids, bits, n, side, half, doc, key, q = unpack(x)
-        sets.append((ids, bits, n, side, half))
+        sets.append((ids, bits, n, np.full_like(side, OLD) if no >= len(blocks) - old else side, half))
         keys.append((key.astype(np.uint64) << np.uint64(32)) | ((doc + held).astype(np.uint64) << np.uint64(4)) | q)
         held += len(ids)
     ids, bits, n, side, half = (np.concatenate(x) for x in zip(*sets))
@@ -333,60 +403,48 @@ def similarities(a: list[str], b: list[str], k: int) -> np.ndarray:
     return out
 
 
-def texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, text) of the given ids: sent to every task while they are few, counted first; joined by shuffle beyond that."""
+def texts_of(texts: DataFrame, ids: DataFrame, rows: int | None = None) -> DataFrame:
+    """(id, text) of the given ids: sent to every task while they are few, counted first; joined by shuffle beyond that.
+
+    rows: what ids has at most, if that is known.
+    """
+    few = (ids.count() if rows is None else rows) <= FEW_IDS
     ids = ids.select("id").distinct()
-    ids = F.broadcast(ids) if ids.count() <= FEW_IDS else ids
+    ids = F.broadcast(ids) if few else ids
     return texts.select("id", "text").join(ids, "id", "left_semi")
 
 
-def similar_texts(texts: DataFrame, threshold: float = 0.8, k: int = 5, *, parts: int | None = None, hot: int | None = None) -> SimilarTexts:
-    """All pairs of different shingle sets whose similarity is ``threshold`` or more.
-
-    texts: (id long, text string, side int); side NEW for rows to be compared with everything, OLD for rows that are
-    compared with new ones only. Ids must be unique. Null, empty and too short texts belong to no class and no pair.
-    parts: parts of the key space, by default two for three shuffle partitions, more for large corpora, so that no part grows.
-    hot: texts that may share a first shingle before its sets are salted, by default as HOT and HOT_MEAN say.
-    """
-    if not 0 < threshold <= 1:
-        raise ValueError("threshold must be in (0, 1]")
-    spark = texts.sparkSession
-    texts = texts.select(F.col("id").cast("long"), F.col("text"), F.col("side").cast("int"))
-    profile = texts.mapInArrow(lambda it: _profile(it, k), "class long, id long, side int, bits binary, block int").persist()
-    blocks = profile.where("block is not null").select("block", "bits").groupBy("block").applyInArrow(_sum_block, "block int, bits binary").collect()
-    counts = np.zeros(1 << SKETCH_BITS, np.int64)
-    for row in blocks:
-        counts[row["block"] * SKETCH_BLOCK : (row["block"] + 1) * SKETCH_BLOCK] = np.frombuffer(zlib.decompress(bytes(row["bits"])), np.int64)
-    parts = parts or max(1, 2 * shuffle_partitions(spark) // 3, -(-int(counts.sum()) // PART))
-    classes = profile.where("block is null").select("class", "id", "side")
-    total = classes.count()
-    blocks_of = salts(counts, hot)
-    ranks = spark.sparkContext.broadcast(np.minimum(255, 8 * np.log2(1 + counts)).astype(np.uint8))
+def key_blocks(texts: DataFrame, order: Order, threshold: float, k: int) -> DataFrame:
+    """(part, block): the join keys of texts (id, text, side), packed for each part of the key space."""
+    shared = texts.sparkSession.sparkContext.broadcast(order)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by = shared.value
+        parts = len(by.parts)
         for batch in batches:
             offsets, h = S.shingles(batch["text"].to_pylist(), k)
             print_of, side = S.fingerprints(offsets, h), np.asarray(batch["side"])
-            order = np.argsort(print_of, kind="stable")
-            first = np.concatenate(([True], print_of[order][1:] != print_of[order][:-1])) & (print_of[order] != 0)
+            at = np.argsort(print_of, kind="stable")
+            first = np.concatenate(([True], print_of[at][1:] != print_of[at][:-1])) & (print_of[at] != 0)
             if not first.any():
                 continue
-            sides = np.bitwise_or.reduceat(side[order], np.flatnonzero(np.concatenate(([True], print_of[order][1:] != print_of[order][:-1]))))
-            sides = sides[1:] if print_of[order[0]] == 0 else sides
-            one = order[first]
+            sides = np.bitwise_or.reduceat(side[at], np.flatnonzero(np.concatenate(([True], print_of[at][1:] != print_of[at][:-1]))))
+            sides = sides[1:] if print_of[at[0]] == 0 else sides
+            one = at[first]
             sizes = np.diff(offsets)[one]
             for lo, hi in runs(sizes, BLOCK):
                 made, bits = [], []
-                for at, end in runs(sizes[lo:hi], AT_ONCE):
-                    some = one[lo + at : lo + end]
+                for start, end in runs(sizes[lo:hi], AT_ONCE):
+                    some = one[lo + start : lo + end]
                     picked = np.concatenate([h[offsets[i] : offsets[i + 1]] for i in some])
-                    ends = np.concatenate(([0], np.cumsum(sizes[lo + at : lo + end])))
-                    doc, key, lead, rank, pos = join_keys(ends, picked, ranks.value, total, threshold)
-                    doc, key, pos, often = (doc + at).astype(np.int32), key.astype(np.uint32), pos.astype(np.int32), blocks_of[rank] > 1
-                    made.append(((doc, key, ((lead >> np.uint64(24)) % np.uint64(parts)).astype(np.int32), pos), often, lead[often], blocks_of[rank[often]]))
+                    ends = np.concatenate(([0], np.cumsum(sizes[lo + start : lo + end])))
+                    doc, key, lead, rank, pos = join_keys(ends, picked, by.ranks, by.texts, threshold)
+                    doc, key, pos, often = (doc + start).astype(np.int32), key.astype(np.uint32), pos.astype(np.int32), by.blocks[rank] > 1
+                    made.append(((doc, key, ((lead >> np.uint64(24)) % np.uint64(parts)).astype(np.int32), pos), often, lead[often], by.blocks[rank[often]]))
                     bits.append(bitmaps(ends, picked))
                 sets = (print_of[one[lo:hi]].view(np.int64), sizes[lo:hi], sides[lo:hi], np.concatenate(bits))
-                yield from _rows(list(pack(parts, sets, *(np.concatenate([x[~often] for x, often in zip(c, [m[1] for m in made])]) for c in zip(*(m[0] for m in made))))))
+                cold = (np.concatenate([x[~often] for x, often in zip(c, [m[1] for m in made])]) for c in zip(*(m[0] for m in made)))
+                yield from _rows([(int(by.parts[x]), block) for x, block in pack(parts, sets, *cold)])
                 doc, key, pos = (np.concatenate([m[0][i][m[1]] for m in made]) for i in (0, 1, 3))
                 if len(doc):
                     rows, held = [], 0
@@ -398,15 +456,12 @@ def similar_texts(texts: DataFrame, threshold: float = 0.8, k: int = 5, *, parts
                             rows, held = [], 0
                     yield from _rows(rows)
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for both in meeting_pairs([x for batch in batches for x in batch["block"].to_pylist()], threshold):
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["class_a", "class_b"])
+    return texts.select("id", "text", "side").mapInArrow(keys, "part long, block binary")
 
-    met = texts.mapInArrow(keys, "part long, block binary").groupBy("part").applyInArrow(meet, "class_a long, class_b long").distinct()
-    one = classes.groupBy("class").agg(F.min("id").alias("id"))
-    side = lambda x: one.select(F.col("class").alias(f"class_{x}"), F.col("id").alias(f"id_{x}"))
-    candidates = cut_lineage(met.join(side("a"), "class_a").join(side("b"), "class_b"))
-    bodies = texts_of(texts, candidates.select(F.explode(F.array("id_a", "id_b")).alias("id")))
+
+def verified(candidates: DataFrame, texts: DataFrame, threshold: float, k: int) -> DataFrame:
+    """(class_a, class_b, similarity) of the candidates (class_a, class_b, id_a, id_b) that are similar, by their texts (id, text)."""
+    bodies = texts_of(texts, candidates.select(F.explode(F.array("id_a", "id_b")).alias("id")), 2 * candidates.count())
     body = lambda x: bodies.select(F.col("id").alias(f"id_{x}"), F.col("text").alias(f"text_{x}"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -414,29 +469,60 @@ def similar_texts(texts: DataFrame, threshold: float = 0.8, k: int = 5, *, parts
             value = similarities(batch["text_a"].to_pylist(), batch["text_b"].to_pylist(), k)
             yield pa.RecordBatch.from_arrays([batch["class_a"], batch["class_b"], pa.array(value)], names=["class_a", "class_b", "similarity"])
 
-    links = candidates.join(body("a"), "id_a").join(body("b"), "id_b").mapInArrow(verify, "class_a long, class_b long, similarity double").where(F.col("similarity") >= threshold - 1e-12)
-    return SimilarTexts(classes.select("class", "id", "side"), links)
+    both = candidates.join(body("a"), "id_a").join(body("b"), "id_b").select("class_a", "class_b", "text_a", "text_b")
+    return both.mapInArrow(verify, "class_a long, class_b long, similarity double").where(F.col("similarity") >= threshold - 1e-12)
+
+
+def similar_texts(texts: DataFrame, threshold: float = 0.8, k: int = 5, *, parts: int | None = None, hot: int | None = None) -> SimilarTexts:
+    """All pairs of different shingle sets whose similarity is ``threshold`` or more.
+
+    texts: (id long, text string, side int); side NEW for rows to be compared with everything, OLD for rows that are
+    compared with new ones only. Ids must be unique. Null, empty and too short texts belong to no class and no pair.
+    parts: parts of the key space, by default one for each shuffle partition, more for large corpora, so that no part grows.
+    hot: texts that may share a first shingle before its sets are salted, by default as HOT and HOT_MEAN say.
+    """
+    if not 0 < threshold <= 1:
+        raise ValueError("threshold must be in (0, 1]")
+    texts = texts.select(F.col("id").cast("long"), F.col("text"), F.col("side").cast("int"))
+    bits = sketch_bits(texts.count())
+    profile = cut_lineage(texts.mapInArrow(lambda it: _profile(it, k, bits), "class long, id long, side int, bits binary, block int"))
+    classes = profile.where("block is null").select("class", "id", "side")
+    order = fit_order(profile.where("block is not null").select("block", "bits"), bits, classes.count(), shuffle_partitions(texts.sparkSession), parts, hot)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for both in meeting_pairs([x for batch in batches for x in batch["block"].to_pylist()], threshold):
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["class_a", "class_b"])
+
+    met = key_blocks(texts, order, threshold, k).groupBy("part").applyInArrow(meet, "class_a long, class_b long").distinct()
+    one = classes.groupBy("class").agg(F.min("id").alias("id"))
+    side = lambda x: one.select(F.col("class").alias(f"class_{x}"), F.col("id").alias(f"id_{x}"))
+    candidates = cut_lineage(met.join(side("a"), "class_a").join(side("b"), "class_b"))
+    return SimilarTexts(classes, verified(candidates, texts, threshold, k))
 
 
 def similar_pairs(texts: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame:
     """(id_a, id_b), id_a < id_b: all pairs of rows of (id, text) whose similarity is ``threshold`` or more.
 
-    Equal shingle sets count. Null, empty and too short texts are in no pair; an empty table gives no rows.
+    Equal shingle sets count. Null, empty and too short texts are in no pair; an empty table gives no rows. The members
+    of a class are salted into blocks, and each two blocks of linked classes meet in a key of their own.
     """
     found = similar_texts(texts.select("id", "text", F.lit(NEW).alias("side")), threshold, k)
-    member = found.classes.select("class", "id")
-    a = member.select(F.col("class").alias("class_a"), F.col("id").alias("x"))
-    b = member.select(F.col("class").alias("class_b"), F.col("id").alias("y"))
-    linked = found.links.select("class_a", "class_b").join(a, "class_a").join(b, "class_b").select("x", "y")
-    same = a.join(b, F.col("class_a") == F.col("class_b")).where("x < y").select("x", "y")
-    return linked.unionByName(same).select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
+    sizes = found.classes.groupBy("class").agg(F.count("*").alias("n"))
+    blocks = sizes.select("class", F.expr(f"cast(ceil(n / {MEMBERS}) as int)").alias("blocks"))
+    member = found.classes.join(blocks, "class").select("class", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("salt"), "id")
+    side = lambda df, x: df.select(*[F.col(c).alias(f"{c}_{x}") for c in df.columns])
+    same = sizes.where("n > 1").select(F.col("class").alias("class_a"), F.col("class").alias("class_b"))
+    each = lambda x: F.explode(F.sequence(F.lit(0), F.col(f"blocks_{x}") - 1)).alias(f"salt_{x}")
+    cells = found.links.select("class_a", "class_b").unionByName(same).join(side(blocks, "a"), "class_a").join(side(blocks, "b"), "class_b")
+    cells = cells.select("class_a", "class_b", "blocks_b", each("a")).select("class_a", "salt_a", "class_b", each("b"))
+    pairs = cells.join(side(member, "a"), ["class_a", "salt_a"]).join(side(member, "b"), ["class_b", "salt_b"])
+    pairs = pairs.where("class_a <> class_b or id_a < id_b")
+    return pairs.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
 
 
 def similar_groups(texts: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame:
-    """(id, class, links): one row for each text that has shingles, its class and the class's links to other classes."""
+    """(id, class, links): one row for each text that has shingles, the smallest id of its class, and the class's links to other classes."""
     found = similar_texts(texts.select("id", "text", F.lit(NEW).alias("side")), threshold, k)
     ends = found.links.select(F.explode(F.array("class_a", "class_b")).alias("class")).groupBy("class").agg(F.count("*").alias("links"))
-    return found.classes.join(ends, "class", "left").select("id", "class", F.coalesce("links", F.lit(0)).alias("links"))
-
-
-
+    named = found.classes.groupBy("class").agg(F.min("id").alias("first")).join(ends, "class", "left")
+    return found.classes.join(named, "class").select("id", F.col("first").alias("class"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))

@@ -19,7 +19,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     arrivals = table(spark, folder, "incoming_chunks").select("arrival_id", "batch_no", "text", "metadata.source_url")
     kept = table(spark, folder, "chunks").select("chunk_no", "text", "metadata.content_hash")
-    return history.repeated_arrivals(arrivals, table(spark, folder, "indexed_chunks"), kept, threshold=0.6, k=3)
+    return history.repeated_arrivals(arrivals, table(spark, folder, "indexed_chunks"), kept, threshold=0.6, k=3).select("arrival_id")
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -31,6 +31,12 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.similar_pairs(texts, threshold=0.6, k=3).select(F.col("id_a").alias("chunk_no_a"), F.col("id_b").alias("chunk_no_b"))
 
 
+def p3_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """One row for each chunk with shingles: its class of equal sets, and the links of the class to other classes."""
+    texts = table(spark, folder, "chunks").select(F.col("chunk_no").alias("id"), "text")
+    return near_duplicates.similar_groups(texts, threshold=0.6, k=3).select(F.col("id").alias("chunk_no"), "class", "links")
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return residue.empty_pages(table(spark, folder, "crawled_pages"))
 
@@ -57,11 +63,11 @@ def p8_confidence(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p6_ids, p7_containers, p8_found, p8_confidence)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_groups, p4_found, p5_found, p6_ids, p7_containers, p8_found, p8_confidence)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p3_found": P3, "p5_found": P5}
+    return {"p3_found": P3, "p3_groups": P3_GROUPS, "p5_found": P5}
 
 
 P5 = r"""
@@ -79,10 +85,17 @@ with pages as (
 select page_id, line_no from keyed join often using (site, key)
 """
 
-P3 = r"""
+_P3 = r"""
 with w as (select chunk_no, list_transform(regexp_extract_all(text, '[\p{L}\p{N}]+'), lambda x: lower(x)) as w from chunks),
 s as (select distinct chunk_no, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as s from (select chunk_no, w, unnest(range(1, len(w) - 1)) as i from w)),
 n as (select chunk_no, count(*) as n from s group by chunk_no),
-p as (select a.chunk_no as a, b.chunk_no as b, count(*) as c from s a join s b on a.s = b.s and a.chunk_no < b.chunk_no group by 1, 2)
-select p.a as chunk_no_a, p.b as chunk_no_b from p join n x on x.chunk_no = p.a join n y on y.chunk_no = p.b where p.c * 1.0 / (x.n + y.n - p.c) >= 0.6
+p as (select a.chunk_no as a, b.chunk_no as b, count(*) as c from s a join s b on a.s = b.s and a.chunk_no < b.chunk_no group by 1, 2),
+found as (select p.a as a, p.b as b from p join n x on x.chunk_no = p.a join n y on y.chunk_no = p.b where p.c * 1.0 / (x.n + y.n - p.c) >= 0.6)
+"""
+
+P3 = _P3 + "select a as chunk_no_a, b as chunk_no_b from found"
+
+P3_GROUPS = _P3 + """, c as (select chunk_no, min(chunk_no) over (partition by h) as class from (select chunk_no, string_agg(s, '|' order by s) as h from s group by chunk_no)),
+l as (select x.class, count(distinct y.class) as links from (select a, b from found union all select b, a from found) f join c x on x.chunk_no = f.a join c y on y.chunk_no = f.b where x.class <> y.class group by 1)
+select chunk_no, c.class as class, coalesce(links, 0) as links from c left join l on l.class = c.class
 """

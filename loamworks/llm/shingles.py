@@ -7,6 +7,7 @@ consecutive words. Null and empty texts have no shingles.
 from __future__ import annotations
 
 import functools
+import re
 
 import numpy as np
 
@@ -15,6 +16,7 @@ _MASK = np.uint64((1 << BITS) - 1)
 _BASE = 0x9E3779B97F4A7C15
 _BATCH = 1 << (64 - BITS)
 _CHARS = 1 << 20
+_BLANK = re.compile(r"\n\s*\n")
 
 
 @functools.cache
@@ -83,10 +85,14 @@ def _word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def shingles(texts: list[str | None], k: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of each text: offsets (one more than texts) and hashes, ascending in each text."""
-    parts, counts = [], []
-    for at in range(0, len(texts), _BATCH):
-        some = texts[at : at + _BATCH]
-        doc, word = word_hashes(some)
+    parts = [(len(some), *word_hashes(some)) for at in range(0, len(texts), _BATCH) if (some := texts[at : at + _BATCH])]
+    return _sets(parts, k)
+
+
+def _sets(parts: list[tuple[int, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of the words (texts, index of the text, hash) of some batches of texts."""
+    hashes, counts = [], []
+    for texts, doc, word in parts:
         n = max(0, len(word) - k + 1)
         h = np.zeros(n, np.uint64)
         for i in range(k):
@@ -95,10 +101,32 @@ def shingles(texts: list[str | None], k: int = 3) -> tuple[np.ndarray, np.ndarra
         key = np.sort((doc[:n][whole].astype(np.uint64) << np.uint64(BITS)) | (h[whole] & _MASK))
         if len(key):
             key = key[np.concatenate(([True], key[1:] != key[:-1]))]
-        counts.append(np.bincount((key >> np.uint64(BITS)).astype(np.int64), minlength=len(some)))
-        parts.append(key & _MASK)
+        counts.append(np.bincount((key >> np.uint64(BITS)).astype(np.int64), minlength=texts))
+        hashes.append(key & _MASK)
     offsets = np.concatenate(([0], np.cumsum(np.concatenate(counts)))) if counts else np.zeros(1, np.int64)
-    return offsets.astype(np.int64), np.concatenate(parts) if parts else np.empty(0, np.uint64)
+    return offsets.astype(np.int64), np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
+
+
+def with_paragraphs(texts: list[str | None], k: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As shingles, and (index of the text, hash, words) of each distinct paragraph with words: its words in their order."""
+    parts, docs, prints, words = [], [], [], []
+    for at in range(0, len(texts), _BATCH):
+        some = [_BLANK.split(x) if x else [] for x in texts[at : at + _BATCH]]
+        owner = np.repeat(np.arange(len(some)), [len(x) for x in some])
+        place, word = word_hashes([x for one in some for x in one])
+        parts.append((len(some), owner[place], word))
+        start = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1]))) if len(place) else np.empty(0, np.int64)
+        if len(start):
+            n = np.diff(np.append(start, len(place)))
+            nth = (np.arange(len(place)) - np.repeat(start, n)).astype(np.uint64)
+            both = np.stack((owner[place[start]].astype(np.uint64), mix(np.add.reduceat(mix(word + mix(nth)), start)), n.astype(np.uint64)), axis=1)
+            both = np.unique(both, axis=0)
+            docs.append(both[:, 0].astype(np.int64) + at)
+            prints.append(both[:, 1])
+            words.append(both[:, 2].astype(np.int32))
+    offsets, h = _sets(parts, k)
+    joined = lambda x, kind: np.concatenate(x) if x else np.empty(0, kind)
+    return offsets, h, joined(docs, np.int64), joined(prints, np.uint64), joined(words, np.int32)
 
 
 def fingerprints(offsets: np.ndarray, hashes: np.ndarray) -> np.ndarray:

@@ -172,12 +172,71 @@ def test_first_come_settles_chains(spark):
     assert sorted(x.node for x in history.first_come(links).collect()) == [2, 4, 5, 8]
 
 
-def test_history_tables(spark):
-    h = history.History(spark, "past", buckets=2)
-    old = spark.createDataFrame([(1, "One para.\n\nSecond para here.", "https://a.test/")], "id long, text string, source_url string")
-    h.append(old)
-    h.append(old)
-    assert spark.table("past_hashes").count() == 1
-    new = spark.createDataFrame([(7, " One para.\n\nSecond para here.", "https://a.test#x"), (8, "second PARA here\n\nOther", "u"), (9, None, None)], "id long, text string, source_url string")
-    assert [r.id for r in h.copies(new).collect()] == [7]
-    assert {r.id: round(r.coverage, 2) for r in h.coverage(new).collect()} == {7: 1.0, 8: 0.75}
+def rows_of(texts, start=0):
+    return [(start + i, i, x, f"h{start + i}") for i, x in enumerate(texts)]
+
+
+def test_history_takes_batch_after_batch(spark, tmp_path):
+    """Batches one by one, each by a history opened anew, give what sequential acceptance gives; a repeated append changes nothing."""
+    texts = corpus(150, 11) + ["one paragraph of a few words\n\nand another one here", "New words before it\n\none PARAGRAPH of a few words\n\nand another one here"]
+    sets, kept, want = [plain(x, 3) for x in texts], [], {}
+    for i, x in enumerate(sets):
+        if i < 60 or not any(x and kept_set and similarity(x, kept_set) >= 0.6 - 1e-12 for kept_set in kept):
+            kept.append(x)
+        else:
+            want[i] = True
+    schema = "id long, at int, text string, content_hash string"
+    made = spark.createDataFrame(rows_of(texts), schema)
+    first = made.where("id < 60")
+    h = history.History(spark, str(tmp_path / "h"), 0.6, 3, buckets=3)
+    for _ in range(2):
+        h.append(first.select("id", "text"), first.select("id"), first)
+    got = {}
+    for lo, hi in ((60, 100), (100, 152)):
+        again = history.History(spark, str(tmp_path / "h"), 0.9, 7, buckets=2)
+        assert (again.threshold, again.k, again.buckets) == (0.6, 3, 3)
+        got |= {r.id: r.evidence for r in again.check(made.where(f"id >= {lo} and id < {hi}"), made.select("id", "text")).collect()}
+    assert set(got) == set(want)
+    assert {"content", "near", "arrival"} <= set(got.values()) and got[151] in ("paragraphs", "arrival")
+    assert h.table("hashes").count() == len(texts) - len(got)
+    repeat = again.check(spark.createDataFrame([(900, 1, texts[0], "x"), (901, 2, None, "h3"), (902, 3, "", None), (903, 4, None, None)], schema), made.select("id", "text"))
+    assert {r.id: r.evidence for r in repeat.collect()} == {900: "content", 901: "hash"}
+
+
+def test_history_compares_the_holder_of_most_paragraphs(spark, tmp_path, monkeypatch):
+    """Paragraphs that many texts hold point to their first holder; own ones to all."""
+    hot, own = "the same legal notice stands below every one of the texts", [f"text {i} says w{i} x{i} y{i} z{i} and a good deal more of it" for i in range(8)]
+    monkeypatch.setattr(history, "HOLDERS", 4)
+    h = history.History(spark, str(tmp_path / "h"), 0.6, 3, buckets=2)
+    old = spark.createDataFrame([(i, f"{x}\n\n{hot}") for i, x in enumerate(own)], "id long, text string")
+    h.append(old, old.select("id"), spark.createDataFrame([], "content_hash string"))
+    batch = spark.createDataFrame([(50, 1, f"{own[5]}\n\n{hot}\n\nplus", "a"), (51, 2, f"quite another text\n\n{hot}", "b"), (52, 3, f"{hot}\n\n{own[7]}", "c")], "id long, at int, text string, content_hash string")
+    read = history.read_texts(batch, 3)
+    holders = {r.id: (r.holder, r.words) for r in h.holders(read.where("paragraph is not null").select("id", "paragraph", "words")).collect()}
+    assert holders == {50: (5, 14), 51: (0, 11), 52: (7, 14)}
+    assert {r.id: r.evidence for r in h.check(batch, old).collect()} == {50: "paragraphs", 52: "paragraphs"}
+
+
+def test_paragraphs_of_texts():
+    offsets, h, doc, paragraph, words = S.with_paragraphs(["One two\n \nthree, FOUR", None, "", "three four\n\none two\n\nOne, two!", "..."], 2)
+    plain_offsets, plain_h = S.shingles(["One two\n \nthree, FOUR", None, "", "three four\n\none two\n\nOne, two!", "..."], 2)
+    assert offsets.tolist() == plain_offsets.tolist() and h.tolist() == plain_h.tolist()
+    assert doc.tolist() == [0, 0, 3, 3] and words.tolist() == [2] * 4 and set(paragraph[:2]) == set(paragraph[2:]) and len(set(paragraph)) == 2
+
+
+def test_sketch_grows_with_the_root_of_the_corpus():
+    assert N.sketch_bits(0) == N.sketch_bits(10**6) == N.SKETCH_BITS
+    assert N.sketch_bits(10**9) == 23 and N.sketch_bits(10**11) == 26
+
+
+def test_parts_are_dealt_evenly(spark):
+    labels = N.part_labels(spark, 21, 7)
+    at = spark.createDataFrame([(int(x),) for x in labels], "x long").selectExpr("pmod(hash(x), 7) as at").groupBy("at").count().collect()
+    assert len(set(labels.tolist())) == 21 and sorted(r["count"] for r in at) == [3] * 7
+
+
+def test_hot_class_is_expanded_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(N, "MEMBERS", 8)
+    texts = ["the same words in all of these texts"] * 30 + ["the same words in all of these texts today"] * 25 + ["something else stands here"]
+    got = sorted((r.id_a, r.id_b) for r in N.similar_pairs(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), 0.8, 3).collect())
+    assert got == [(i, j) for i in range(55) for j in range(i + 1, 55)]
