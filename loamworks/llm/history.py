@@ -51,8 +51,8 @@ def at_once(*jobs: Callable[[], None]) -> None:
             done.result()
 
 
-def read_texts(texts: DataFrame, k: int, bits: int | None = None) -> DataFrame:
-    """One reading of (id, text): rows (id, class) of each text that has shingles, (id, paragraph, words) of each distinct
+def read_texts(texts: DataFrame, k: int, folder: str, bits: int | None = None) -> DataFrame:
+    """One reading of (id, text), written in the folder: rows (id, class) of each text that has shingles, (id, paragraph, words) of each distinct
     paragraph, and with bits (block, bits) of the sketch of the shingles' counts."""
 
     def rows(**columns) -> pa.RecordBatch:
@@ -73,7 +73,9 @@ def read_texts(texts: DataFrame, k: int, bits: int | None = None) -> DataFrame:
             for block, part in N.sketch_rows(counts):
                 yield rows(block=[block], bits=[part])
 
-    return cut_lineage(texts.select("id", "text").mapInArrow(run, _READ))
+    place = f"{folder}/read-{uuid.uuid4().hex}"
+    texts.select("id", "text").mapInArrow(run, _READ).write.parquet(place)
+    return texts.sparkSession.read.schema(_READ).parquet(place)
 
 
 def first_come(nodes_links: DataFrame) -> DataFrame:
@@ -127,13 +129,16 @@ class History:
         name = f"{self._name}_{kind}"
         if not self.spark.catalog.tableExists(name):
             columns, key = TABLES[kind]
-            self.spark.sql(f"create table {name} ({columns}) using parquet clustered by ({key}) into {self.buckets} buckets location '{self.folder}/{kind}'")
+            self.spark.sql(f"create table {name} ({columns}) using parquet clustered by ({key}) into {self._buckets(kind)} buckets location '{self.folder}/{kind}'")
         return self.spark.table(name)
 
+    def _buckets(self, kind: str) -> int:
+        return len(self._order.parts) if kind == "keys" else self.buckets
+
     def _write(self, kind: str, rows: DataFrame) -> None:
         columns = self.table(kind).columns
-        if rows.rdd.getNumPartitions() * self.buckets > FILES:
-            rows = rows.repartition(self.buckets, TABLES[kind][1])
+        if rows.rdd.getNumPartitions() * self._buckets(kind) > FILES:
+            rows = rows.repartition(self._buckets(kind), TABLES[kind][1])
         rows.select(*columns).write.insertInto(f"{self._name}_{kind}")
 
     def _fit(self, read: DataFrame, bits: int) -> None:
@@ -145,7 +150,7 @@ class History:
 
     def _book(self, read: DataFrame, ids: DataFrame, hashes: DataFrame, *first: Callable[[], None]) -> None:
         """Append what read holds of the given ids, beside the jobs of first, and the content hashes, last."""
-        mine = read.join(ids, "id", "left_semi")
+        mine = read.join(N.few(ids), "id", "left_semi")
         new = mine.where("class is not null").groupBy("class").agg(F.min("id").alias("id"))
         fresh = hashes.select("content_hash").where("content_hash is not null").distinct()
         at_once(
@@ -163,7 +168,7 @@ class History:
         """
         texts = texts.select(F.col("id").cast("long"), "text")
         bits = N.sketch_bits(texts.count()) if self._order is None else None
-        read = read_texts(texts, self.k, bits)
+        read = read_texts(texts, self.k, self.folder, bits)
         if bits:
             self._fit(read, bits)
         self._book(read, accepted.select("id"), hashes, lambda: self._write("keys", self._keys(texts, "old")))
@@ -213,9 +218,10 @@ class History:
         """
         batch = batch.select(F.col("id").cast("long"), "at", "text", "content_hash")
         number = uuid.uuid4().hex
-        read = read_texts(batch, self.k, N.sketch_bits(batch.count()) if self._order is None else None)
-        if self._order is None:
-            self._fit(read, N.sketch_bits(batch.count()))
+        bits = N.sketch_bits(batch.count()) if self._order is None else None
+        read = read_texts(batch, self.k, self.folder, bits)
+        if bits:
+            self._fit(read, bits)
         named = batch.select("id", "at", "content_hash").join(read.where("class is not null").select("id", "class"), "id", "left")
         named = cut_lineage(self.copies(named))
         copied, open_ = named.where("evidence is not null").select("id", "evidence"), named.where("evidence is null").drop("evidence")

@@ -132,7 +132,7 @@ class Order:
     """The order of all shingles, and how the key space is parted. Sets can be compared only if one order cut them.
 
     Any order loses no pair; one fitted on the corpus makes few candidates. ranks: of each cell of the sketch; texts: of
-    the corpus; parts: labels of the parts of the key space; blocks: those that the sets of a first shingle are salted
+    the corpus; parts: labels of the parts of the key space, each in a hash partition of its own; blocks: those that the sets of a first shingle are salted
     into, by its rank.
     """
 
@@ -142,15 +142,13 @@ class Order:
     blocks: np.ndarray
 
 
-def part_labels(spark: SparkSession, parts: int, partitions: int) -> np.ndarray:
-    """Labels of the parts such that Spark's hash deals them evenly to the partitions, in turn."""
-    room, more = -(-parts // partitions), 8
+def part_labels(spark: SparkSession, parts: int) -> np.ndarray:
+    """Labels of so many parts, one for each of as many hash partitions."""
+    more = 8 + ceil(2 * log2(parts + 1))
     while True:
-        rows = spark.range(more * room * partitions).select("id", F.expr(f"pmod(hash(id), {partitions})").alias("at"))
-        some = rows.groupBy("at").agg(F.slice(F.sort_array(F.collect_list("id")), 1, room).alias("ids")).collect()
-        ids = {r["at"]: r["ids"] for r in some if len(r["ids"]) == room}
-        if len(ids) == partitions:
-            return np.array([ids[p % partitions][p // partitions] for p in range(parts)], np.int64)
+        rows = spark.range(more * parts).groupBy(F.expr(f"pmod(hash(id), {parts})").alias("at")).agg(F.min("id").alias("id")).collect()
+        if len(rows) == parts:
+            return np.array(sorted(r["id"] for r in rows), np.int64)
         more *= 2
 
 
@@ -160,8 +158,8 @@ def fit_order(sketches: DataFrame, bits: int, texts: int, partitions: int, parts
     for row in sketches.groupBy("block").applyInArrow(_sum_block, "block int, ranks binary, total long").collect():
         ranks[row["block"] * SKETCH_BLOCK : (row["block"] + 1) * SKETCH_BLOCK] = np.frombuffer(bytes(row["ranks"]), np.uint8)
         total += row["total"]
-    parts = parts or partitions * max(1, -(-total // (PART * partitions)))
-    return Order(ranks, texts, part_labels(sketches.sparkSession, parts, partitions), salts(total / len(ranks), hot))
+    parts = parts or max(1, 2 * partitions // 3, -(-total // PART))
+    return Order(ranks, texts, part_labels(sketches.sparkSession, parts), salts(total / len(ranks), hot))
 
 
 def join_keys(offsets: np.ndarray, hashes: np.ndarray, counts: np.ndarray, texts: int, t: float) -> tuple[np.ndarray, ...]:
@@ -403,15 +401,16 @@ def similarities(a: list[str], b: list[str], k: int) -> np.ndarray:
     return out
 
 
-def texts_of(texts: DataFrame, ids: DataFrame, rows: int | None = None) -> DataFrame:
-    """(id, text) of the given ids: sent to every task while they are few, counted first; joined by shuffle beyond that.
-
-    rows: what ids has at most, if that is known.
-    """
-    few = (ids.count() if rows is None else rows) <= FEW_IDS
+def few(ids: DataFrame, rows: int | None = None) -> DataFrame:
+    """Distinct ids, sent to every task while they are few, counted first. rows: what there are at most, if that is known."""
+    little = (ids.count() if rows is None else rows) <= FEW_IDS
     ids = ids.select("id").distinct()
-    ids = F.broadcast(ids) if few else ids
-    return texts.select("id", "text").join(ids, "id", "left_semi")
+    return F.broadcast(ids) if little else ids
+
+
+def texts_of(texts: DataFrame, ids: DataFrame, rows: int | None = None) -> DataFrame:
+    """(id, text) of the given ids; while they are few, no text is shuffled."""
+    return texts.select("id", "text").join(few(ids, rows), "id", "left_semi")
 
 
 def key_blocks(texts: DataFrame, order: Order, threshold: float, k: int) -> DataFrame:
@@ -478,7 +477,7 @@ def similar_texts(texts: DataFrame, threshold: float = 0.8, k: int = 5, *, parts
 
     texts: (id long, text string, side int); side NEW for rows to be compared with everything, OLD for rows that are
     compared with new ones only. Ids must be unique. Null, empty and too short texts belong to no class and no pair.
-    parts: parts of the key space, by default one for each shuffle partition, more for large corpora, so that no part grows.
+    parts: parts of the key space, by default two for three shuffle partitions, more for large corpora, so that no part grows.
     hot: texts that may share a first shingle before its sets are salted, by default as HOT and HOT_MEAN say.
     """
     if not 0 < threshold <= 1:
@@ -493,7 +492,7 @@ def similar_texts(texts: DataFrame, threshold: float = 0.8, k: int = 5, *, parts
         for both in meeting_pairs([x for batch in batches for x in batch["block"].to_pylist()], threshold):
             yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["class_a", "class_b"])
 
-    met = key_blocks(texts, order, threshold, k).groupBy("part").applyInArrow(meet, "class_a long, class_b long").distinct()
+    met = key_blocks(texts, order, threshold, k).repartition(len(order.parts), "part").groupBy("part").applyInArrow(meet, "class_a long, class_b long").distinct()
     one = classes.groupBy("class").agg(F.min("id").alias("id"))
     side = lambda x: one.select(F.col("class").alias(f"class_{x}"), F.col("id").alias(f"id_{x}"))
     candidates = cut_lineage(met.join(side("a"), "class_a").join(side("b"), "class_b"))
