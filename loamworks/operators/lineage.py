@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,3 +28,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as Parquet in the shared folder: a checkpoint of which later steps read the columns that they need."""
+    spark = df.sparkSession
+    place = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return spark.read.schema(df.schema).parquet(place)
