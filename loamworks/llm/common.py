@@ -6,9 +6,9 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from loamworks.functions.text import content_hash
-from loamworks.operators.lineage import cut_lineage, shared_folder
+from loamworks.operators.lineage import cut_lineage, shared_folder, written
 
-__all__ = ["content_hash", "cut_lineage", "normalised_url", "shared_folder", "shuffle_partitions", "site_of"]
+__all__ = ["content_hash", "cut_lineage", "normalised_url", "shared_folder", "shuffle_partitions", "site_of", "written"]
 
 SITE = r"^[hH][tT][tT][pP][sS]?://([^/?#]+)"
 

@@ -33,6 +33,31 @@ def test_recrawled_page_is_one_document(spark):
     assert R.repeated_lines(pages(spark, []), 8).count() == 0
 
 
+def test_line_hashes_are_those_of_letters_and_of_lines(monkeypatch):
+    monkeypatch.setattr(R, "_CHARS", 40)
+    r = random.Random(3)
+    texts = [None, "", "a", "\n", *["".join(r.choice("aAbBéÉ1 .-\n") for _ in range(r.randint(0, 30))) for _ in range(200)], "𠀀x\nİi"]
+    counts, raw, key = R.line_hashes(texts)
+    lines = [y for x in texts if x is not None for y in x.split("\n")]
+    assert counts.tolist() == [0 if x is None else x.count("\n") + 1 for x in texts] and len(raw) == len(key) == len(lines)
+    letters = ["".join(c for c in x if c.isalpha()).replace("İ", "i").lower() for x in lines]
+    for values, hashes in ((lines, raw), (letters, key)):
+        assert len(set(zip(values, hashes.tolist()))) == len(set(values)) == len(set(hashes.tolist()))
+        assert all((x == "") == (h == 0) for x, h in zip(values, hashes.tolist()))
+
+
+def test_documents_are_numbered_without_gaps(spark):
+    df = spark.createDataFrame([(s, u) for s in (1, 2) for u in range(50 * s)] * 2, "site long, url long")
+    got = [(r.site, r.doc) for r in R.numbered(df).collect()]
+    assert sorted(got) == [(1, i) for i in range(50)] + [(2, i) for i in range(100)]
+
+
+def test_large_tables_are_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(R, "FEW_ROWS", 0)
+    rows = [(i, f"https://a.test/{i}", "Share\nown words", "x") for i in range(70)]
+    assert R.repeated_lines(pages(spark, rows), 70).count() == 140
+
+
 @pytest.mark.parametrize("leaf", [3, 40, 1 << 13])
 def test_tree_encoding_is_that_of_the_whole(monkeypatch, leaf):
     monkeypatch.setattr(E, "LEAF", leaf)
