@@ -1,8 +1,16 @@
 """Pages that show template residue, filler text, an error message or a demand for scripts.
 
-Placeholders and filler are found in the title and in the text outside code. A response that says nothing of its own is
-found by comparison: the words of its main body share nothing with the address, few words remain once headings, names and
-numbers are gone, and the same words answer for several different addresses, counted over all hosts.
+Placeholders and filler are found by detectors in the title and in the text outside code. A response that says nothing of
+its own is found by comparison. The terms of its address and title are looked for in its main body; each statement of
+the body is counted over the addresses, and the hosts, that it answers for among such mismatched pages; and the words of
+the body are its information. All of these make one score:
+
+    log2(addresses of its rarest statement) + 1 if that stands on several hosts + 2 * share of the address's terms that
+    the body lacks + log2(16 / different words), 1 at most + KNOWN if each statement is a known message
+
+The title takes the place of an address without terms. Where the body says nothing but the title, that counts as a
+statement only if it is known or answers on several hosts, as it may be the name of the site. An article has a statement of its own, so it scores 2 and less, whatever its length. Known messages are one feature, for
+tables in which a message is met once or twice only.
 """
 
 from __future__ import annotations
@@ -15,15 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamworks.llm.boilerplate import Line, labelled, letters
-from loamworks.llm.common import cut_lineage, normalised_url
+from loamworks.llm.common import normalised_url, site_of, written
 
-#: Different addresses that one empty answer must serve, and the most words that an empty answer has.
-ADDRESSES, WORDS = 5, 45
+#: Score of an empty answer, what a known message adds to it, and the share of terms from which a body matches its address.
+SCORE, KNOWN, MATCH = 3.9, 2.5, 0.5
 
 # Placeholder notations, filler sentences, and messages that stand in place of content.
 PLACEHOLDER = re.compile(
-    r"\{\{[^{}\n]{1,60}\}\}|\$\{[^{}\n]{1,60}\}|#\{[^{}\n]{1,60}\}|\{%-?[^%\n]{1,60}%\}|<%[=-]?[^%\n]{1,60}%>|%%\w{2,60}%%|(?<![\w%])%[A-Z][A-Z_]+%|@@\w{2,60}@@|\[\[\w+:\w+\]\]"
-    r"|\[(?:your|insert|enter|add) [\w ]{2,40}\]|<[\w ]{2,40} goes here>|(?<!\w)__[A-Z]+(?:_[A-Z]+)*__(?!\w)|(?<![\w{$#%])\{[a-z]+(?:_[a-z]+)*\}(?!\})",
+    r"\{\{[^{}\n]+?\}\}|\$\{[^{}\n]+?\}|#\{[^{}\n]+?\}|\{%-?[^%\n]+?%\}|<%[=-]?[^%\n]+?%>|%%\w{2,}?%%|(?<![\w%])%[A-Z][A-Z_]+%|@@\w{2,}?@@|\[\[\w+:\w+\]\]"
+    r"|\[(?:your|insert|enter|add) [\w ]+?\]|<[\w ]+? goes here>|(?<!\w)__[A-Z]+(?:_[A-Z]+)*__(?!\w)|(?<![\w{$#%])\{[a-z]+(?:_[a-z]+)*\}(?!\})",
     re.I,
 )
 FILLER = (
@@ -38,7 +46,7 @@ non nostrud nostrum nulla nullam occae occaecat officia pariat pariatur porta pr
 EMPTY = re.compile(r"(?:(?:undefined|null|nan|none|\[object object\]|\(empty string\)|\(null\)|n/a)\s*)+", re.I)
 MESSAGE = re.compile(
     r"\bjavascript\b|schiefgelaufen|algo ha fallado|inténtelo más tarde|réessayez plus tard|needs scripts to run|does not support scripting|allow scripts for this site|page is gone\b|page not found|does not exist on this server|access denied|do not have permission to view"
-    r"|internal server error|something broke on our side|too many requests|sent more calls than allowed|bad gateway|invalid response\.|service temporarily unavailable|under maintenance or too busy|application error"
+    r"|internal server error|something broke on our side|too many requests|sent more calls than allowed|bad gateway|invalid response\b|service temporarily unavailable|under maintenance or too busy|application error"
     r"|unhandled exception occurred|session has expired|sign in once more|checking your browser|you are not a robot|braucht skripte|seite nicht gefunden|gibt es auf diesem server nicht|zugriff verweigert"
     r"|keine berechtigung für|wartungsarbeiten|dienst ist gerade nicht|besoin de scripts|erreur interne|un problème est survenu|page introuvable|n'existe plus sur ce serveur|accès refusé|página no encontrada"
     r"|ya no existe en este servidor|servicio no disponible|acceso denegado|necesita scripts|no tiene permiso",
@@ -48,6 +56,7 @@ MESSAGE = re.compile(
 _CODE = re.compile(r"^[ \t]*(```|~~~).*?(?:^[ \t]*\1[ \t]*$|\Z)", re.M | re.S)
 _TICKS = re.compile(r"`[^`\n]*`")
 _WORD = re.compile(r"[^\W\d_]+")
+_SENTENCE = re.compile(r"(?<=[.!?])\s+")
 _PARTS = re.compile(r"\s+[|·–-]\s+")
 _NUMBERED = re.compile(r"^(?:ID|Ref|Code|Trace)?[ #:]*\d+$", re.I)
 _MARKS = ("{", "%", "@@", "<", "[", "__")
@@ -92,56 +101,90 @@ def _names(title: str) -> set[str]:
     return {letters(x) for x in (title, *_PARTS.split(title))}
 
 
-def answer_of(title: str | None, markdown: str | None) -> tuple[str | None, bool]:
-    """What a page says once headings, names and numbers are gone, if it is short; whether that is a known message."""
+def statements(title: str | None, markdown: str | None) -> tuple[list[str], bool, bool]:
+    """What the main body of a page says, as letters: sentences, code and tables, without names, dates and numbers; headings,
+    then names, only if there is nothing else. Whether these are names; whether printed empty values stand in the body."""
     body = [x for x, keep in labelled(markdown) if keep]
-    if not body or len(body) > 12 or any(x.kind in ("code", "table") for x in body):
-        return None, False
-    names = _names(title or "")
+    if not body:
+        return [], False, False
+    names, lines = _names(title or ""), (markdown or "").split("\n")
     left: list[Line] = [x for x in body if x.role != "date" and not _NUMBERED.match(x.text)]
-    said = [x for x in left if not EMPTY.fullmatch(x.text.strip())]
-    empty = len(said) < len(left)
+    said = [x for x in left if x.kind in ("code", "table") or not EMPTY.fullmatch(x.text.strip())]
     plain = [x for x in said if x.kind != "heading" and letters(x.text) not in names and not (x.kind == "short" and not x.text.endswith((".", "?", "!")) and len(said) > 1)]
-    if not plain:
-        heads = any(MESSAGE.search(x.text) for x in said)
-        return None, empty or heads
-    words = sum(len(_WORD.findall(x.text)) for x in plain)
-    if words > WORDS:
-        return None, False
-    known = all(MESSAGE.search(x.text) or MESSAGE.search(" ".join(y.text for y in plain)) for x in plain) and words <= WORDS
-    return " ".join(sorted(letters(x.text) for x in plain)), known
+    out, rest = [], plain or [x for x in said if letters(x.text) not in names]
+    for x in rest or said:
+        if x.kind in ("code", "table"):
+            out.append(letters("\n".join(lines[x.first - 1 : x.last])) or x.kind)
+        else:
+            out += [y for part in _SENTENCE.split(x.text) if (y := letters(part))]
+    return list(dict.fromkeys(out)), not rest, len(said) < len(left)
 
 
-def _matches_address(url: str | None, answer: str) -> bool:
-    slug = set(_WORD.findall((url or "").lower().split("://")[-1].partition("/")[2]))
-    return len({w for w in slug if len(w) > 3} & set(answer.split())) >= 2
+def terms(url: str | None, title: str | None) -> set[str]:
+    """Words of four letters or more of the path of an address; those of the title if it has none."""
+    path = (url or "").lower().split("://")[-1].partition("/")[2].partition("?")[0]
+    return next((t for x in (path, (title or "").lower()) if (t := {w for w in _WORD.findall(x) if len(w) > 3})), set())
 
 
-def empty_pages(pages: DataFrame) -> DataFrame:
-    """(page_id) of (page_id, source_url, page_title, markdown): pages that show residue, filler or an empty answer.
+def match_of(url: str | None, title: str | None, said: list[str]) -> float:
+    """Share of the terms of its address that a body has; 0 if there are none."""
+    wanted = terms(url, title)
+    return len(wanted & {w for x in said for w in x.split()}) / len(wanted) if wanted else 0.0
 
-    Null, empty or blank title or markdown alone is no case; a page of furniture only is none either. Extra columns are
-    ignored, repeated rows are treated alike.
+
+def answers(pages: DataFrame) -> DataFrame:
+    """(page_id, url, host, sure, known, named, match, words, said) of the pages that show residue (sure) or whose main body lacks most terms of its address.
+
+    said: hashes of the statements of the body; named: they are names; words: its different words.
     """
-    pages = pages.select("page_id", normalised_url(F.col("source_url")).alias("url"), "page_title", "markdown")
+    kind = pages.schema["page_id"].dataType.simpleString()
+    pages = pages.select("page_id", normalised_url(F.col("source_url")).alias("url"), F.xxhash64(site_of(F.col("source_url"))).alias("host"), "page_title", "markdown")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sure, answers = [], []
+            rows = []
             for url, title, text in zip(batch["url"].to_pylist(), batch["page_title"].to_pylist(), batch["markdown"].to_pylist()):
-                found, answer = shows_residue(title, text), None
-                if not found and text and len(text) < 20_000:
-                    answer, known = answer_of(title, text)
-                    found = known
-                    if found or (answer and _matches_address(url, answer)):
-                        answer = None
-                sure.append(found)
-                answers.append(answer)
-            yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(sure), pa.array(answers, pa.string())], names=["page_id", "url", "sure", "answer"])
+                if shows_residue(title, text):
+                    rows.append((True, False, False, 0.0, 0, []))
+                    continue
+                said, named, empty = statements(title, text) if text else ([], False, False)
+                match = match_of(url, title, said)
+                if empty and (named or not said):
+                    rows.append((True, False, named, match, 0, []))
+                elif said and match < MATCH:
+                    words = [w for x in said for w in x.split()]
+                    known = all(MESSAGE.search(x) for x in said) or (MESSAGE.search(" ".join(said)) is not None and len(words) <= 12 * len(said))
+                    rows.append((False, known, named, match, len(set(words)), said))
+                else:
+                    rows.append(None)
+            some = [i for i, x in enumerate(rows) if x]
+            sure, known, named, match, words, said = zip(*(rows[i] for i in some)) if some else ((),) * 6
+            take = pa.array(some, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch[c].take(take) for c in ("page_id", "url", "host")] + [pa.array(sure, pa.bool_()), pa.array(known, pa.bool_()), pa.array(named, pa.bool_()), pa.array(match, pa.float64()), pa.array(words, pa.int32()), pa.array(said, pa.list_(pa.string()))],
+                names=["page_id", "url", "host", "sure", "known", "named", "match", "words", "said"],
+            )
+
+    found = pages.mapInArrow(run, f"page_id {kind}, url string, host long, sure boolean, known boolean, named boolean, match double, words int, said array<string>")
+    return written(found.withColumn("url", F.xxhash64("url")).withColumn("said", F.transform("said", lambda x: F.xxhash64(x))))
+
+
+def scored(seen: DataFrame, known: float = KNOWN) -> DataFrame:
+    """(page_id, score) of each page of answers that says something."""
+    open_ = seen.where("not sure and size(said) > 0")
+    each = open_.select("url", "host", F.explode("said").alias("statement")).distinct()
+    over = each.groupBy("statement", "host").count().groupBy("statement").agg(F.sum("count").alias("addresses"), F.count("*").alias("hosts"))
+    rare = open_.select("page_id", F.explode("said").alias("statement")).join(over, "statement").groupBy("page_id").agg(F.min(F.struct("addresses", "hosts")).alias("rare"))
+    alone = F.col("named") & ~F.col("known") & (F.col("rare.hosts") == 1)
+    score = F.log2("rare.addresses") + F.when(F.col("rare.hosts") > 1, 1).otherwise(0) + 2 * (1 - F.col("match")) + F.least(F.lit(1.0), F.log2(16 / F.col("words"))) + F.when(F.col("known"), known).otherwise(0)
+    return open_.join(rare, "page_id").where(~alone).select("page_id", score.alias("score"))
+
+
+def empty_pages(pages: DataFrame, known: float = KNOWN) -> DataFrame:
+    """(page_id) of (page_id, source_url, page_title, markdown): pages that show residue, filler or an empty answer.
 
-    kind = pages.schema["page_id"].dataType.simpleString()
-    seen = pages.mapInArrow(run, f"page_id {kind}, url string, sure boolean, answer string").where("sure or answer is not null")
-    seen = seen.select("page_id", "sure", F.xxhash64("answer").alias("answer"), F.xxhash64("url").alias("url"), F.col("answer").isNotNull().alias("open"))
-    seen = cut_lineage(seen)
-    often = seen.where("open").groupBy("answer", "url").count().groupBy("answer").agg(F.count("*").alias("n")).where(F.col("n") >= ADDRESSES)
-    return seen.where("sure").select("page_id").unionByName(seen.where("open").join(often, "answer", "left_semi").select("page_id")).distinct()
+    Null, empty or blank title or markdown alone is no case; a page of furniture only is none either. Extra columns are
+    ignored, repeated rows are treated alike. known: what a known message adds to the score; 0 leaves it to the comparison.
+    """
+    seen = answers(pages)
+    return seen.where("sure").select("page_id").unionByName(scored(seen, known).where(F.col("score") >= SCORE).select("page_id")).distinct()
