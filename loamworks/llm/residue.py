@@ -6,7 +6,7 @@ the body is counted over the addresses, and the hosts, that it answers for among
 the body are its information. All of these make one score:
 
     log2(addresses of its rarest statement) + 1 if that stands on several hosts + 2 * share of the address's terms that
-    the body lacks + log2(16 / different words), 1 at most + KNOWN if each statement is a known message
+    the body lacks + log2(16 / words), 1 at most + KNOWN if each statement is a known message
 
 The title takes the place of an address without terms. Where the body says nothing but the title, that counts as a
 statement only if it is known or answers on several hosts, as it may be the name of the site. An article has a statement of its own, so it scores 2 and less, whatever its length. Known messages are one feature, for
@@ -117,7 +117,7 @@ def statements(title: str | None, markdown: str | None) -> tuple[list[str], bool
             out.append(letters("\n".join(lines[x.first - 1 : x.last])) or x.kind)
         else:
             out += [y for part in _SENTENCE.split(x.text) if (y := letters(part))]
-    return list(dict.fromkeys(out)), not rest, len(said) < len(left)
+    return out, not rest, len(said) < len(left)
 
 
 def terms(url: str | None, title: str | None) -> set[str]:
@@ -135,7 +135,7 @@ def match_of(url: str | None, title: str | None, said: list[str]) -> float:
 def answers(pages: DataFrame) -> DataFrame:
     """(page_id, url, host, sure, known, named, match, words, said) of the pages that show residue (sure) or whose main body lacks most terms of its address.
 
-    said: hashes of the statements of the body; named: they are names; words: its different words.
+    said: hashes of the statements of the body; named: they are names; words: of all statements.
     """
     kind = pages.schema["page_id"].dataType.simpleString()
     pages = pages.select("page_id", normalised_url(F.col("source_url")).alias("url"), F.xxhash64(site_of(F.col("source_url"))).alias("host"), "page_title", "markdown")
@@ -154,7 +154,7 @@ def answers(pages: DataFrame) -> DataFrame:
                 elif said and match < MATCH:
                     words = [w for x in said for w in x.split()]
                     known = all(MESSAGE.search(x) for x in said) or (MESSAGE.search(" ".join(said)) is not None and len(words) <= 12 * len(said))
-                    rows.append((False, known, named, match, len(set(words)), said))
+                    rows.append((False, known, named, match, len(words), said))
                 else:
                     rows.append(None)
             some = [i for i, x in enumerate(rows) if x]
@@ -166,7 +166,7 @@ def answers(pages: DataFrame) -> DataFrame:
             )
 
     found = pages.mapInArrow(run, f"page_id {kind}, url string, host long, sure boolean, known boolean, named boolean, match double, words int, said array<string>")
-    return written(found.withColumn("url", F.xxhash64("url")).withColumn("said", F.transform("said", lambda x: F.xxhash64(x))))
+    return written(found.withColumn("url", F.xxhash64("url")).withColumn("said", F.array_distinct(F.transform("said", lambda x: F.xxhash64(x)))))
 
 
 def scored(seen: DataFrame, known: float = KNOWN) -> DataFrame:
