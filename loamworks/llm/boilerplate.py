@@ -1,7 +1,9 @@
 """Main body of web pages, by minimum-cut labelling of their lines.
 
-Each line of a page is a node. What a classifier says about the line alone is its capacity from the source (body) or to
-the sink (furniture of the site). Neighbouring lines, the lines of one list, and a section's head with the lines that
+Each line of a page is a node. What a classifier says about the line is its capacity from the source (body) or to the sink
+(furniture of the site): its form, whether it stands on several pages of the site in any wording, and known labels of
+furniture. Repetition is counted over all pages of a site first; where it would leave a page without any body, as with an
+error message that answers for many addresses, it counts for nothing. Neighbouring lines, the lines of one list, and a section's head with the lines that
 hang on it are joined by edges whose capacity is the price of parting them. A maximum flow finds the cheapest cut; what
 stays connected with the source is the body.
 """
@@ -13,8 +15,13 @@ from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from loamworks.llm import repeated_lines as R
+from loamworks.llm.common import site_of
 
 # Labels and phrases of site furniture in English, German, French and Spanish, as their letters in lower case.
 MENU = frozenset(
@@ -102,6 +109,7 @@ _PRICE = re.compile(r"(?:\d+[.,]\d{2}|[$€£] ?\d+)\s*(?:[$€£]|eur|usd)?$",
 _SPLIT = re.compile(r"\s+(?:·|\||•|–|/|»|›)\s+|\s{3,}")
 _TEASER = re.compile(r"\[\s?(?:\.\.\.|…)\s?\]$|\((?:more|mehr|suite|más)\)$", re.I)
 _BOLD = re.compile(r"^(?:\*\*|__)[^*_]+(?:\*\*|__)$")
+_ASIDE = re.compile(r"\s*\([^()]*\)\.?$")
 _RESIDUE = re.compile(r"[{}%@#$<>_\[\]]{1,2} ?[\w.: -]{2,40} ?[}%@>\]_]{1,2}|^(?:undefined|null|nan|none|\(empty string\)|\[object object\])(?:\s|$)|^ID \d+$", re.I)
 
 _ERROR = re.compile(
@@ -114,6 +122,8 @@ _ERROR = re.compile(
 NEAR, LIST, BLANK, HEAD, HANG = 12, 30, 2, 6, 60
 #: Evidence for the body of a line that is a sentence.
 SENTENCE = 40
+#: Documents of its site on which a line is repeated, and the evidence for furniture that this is.
+DOCUMENTS, REPEATED = 5, 80
 
 
 @dataclass
@@ -141,8 +151,6 @@ def _judged(first: int, raw: str, gap: bool) -> Line:
     plain = text[mark.end() :] if mark else text
     heading = bool(mark) and text[0] == "#"
     plain = plain.strip().strip("*_").strip()
-    if len(plain) > 220 and not plain.lower().startswith(CONSENT):
-        return Line(first, first, plain, "item" if mark and not heading else "prose", 60, 0, gap=gap)
     low = re.sub(r"\s+", " ", plain.lower())
     key = letters(low)
     words = key.count(" ") + 1 if key else 0
@@ -153,7 +161,7 @@ def _judged(first: int, raw: str, gap: bool) -> Line:
     kind = "heading" if heading else "item" if mark else "short" if words <= 3 else "prose"
     if low.startswith(CONSENT):
         return as_(kind, 0, 120, "consent")
-    if key in NOTICE or _DATED.match(plain) or (words <= 8 and _BYLINE.match(plain)):
+    if key in NOTICE or letters(_ASIDE.sub("", low)) in NOTICE or _DATED.match(plain) or (words <= 8 and _BYLINE.match(plain)):
         return as_(kind, 90, 0, "date")
     if key in SERVICE or _COUNTED.match(low):
         return as_(kind, 0, 120, "service")
@@ -171,11 +179,11 @@ def _judged(first: int, raw: str, gap: bool) -> Line:
         return as_(kind, 0, 120, "says")
     if words <= 12 and RELATED.fullmatch(low.rstrip(":")):
         return as_(kind, 0, 120, "related")
-    if len(plain) < 160 and (_CRUMB_HOME.match(plain) or _CRUMB.match(plain)) and not plain.endswith((".", "?", "!")):
+    if (_CRUMB_HOME.match(plain) or _CRUMB.match(plain)) and not plain.endswith((".", "?", "!")):
         return as_(kind, 0, 120, "crumb")
     if key in MENU:
         return as_(kind, 0, 50, "menu")
-    if _TURN.match(plain) and len(plain) < 140:
+    if _TURN.match(plain) and not ("«" in plain and "»" in plain):
         return as_(kind, 0, 80, "turn")
     if _TEASER.search(plain):
         return as_("prose", 0, 90, "teaser")
@@ -266,10 +274,10 @@ def edges(lines: list[Line]) -> list[tuple[int, int, int]]:
             if j < n and lines[j].kind == "prose" and not lines[j].role:
                 out.append((i, j, 2 * HANG))
         elif head.role == "advert":
-            if j < n and not lines[j].gap and lines[j].kind in ("prose", "short") and not lines[j].role and len(lines[j].text) < 140 and _PRICE.search(lines[j].text.rstrip(". ")):
+            if j < n and not lines[j].gap and lines[j].kind in ("prose", "short") and not lines[j].role and _PRICE.search(lines[j].text.rstrip(". ")):
                 out.append((i, j, 2 * HANG))
         elif head.role == "says":
-            while j < n and j - i <= 12 and lines[j].role not in ("reply", "says", "talk") and lines[j].kind not in ("heading",) and not lines[j].role:
+            while j < n and lines[j].role not in ("reply", "says", "talk") and lines[j].kind not in ("heading",) and not lines[j].role:
                 out.append((i, j, 2 * HANG))
                 j += 1
                 if j < n and lines[j].gap and lines[j].role != "reply" and not any(x.role == "reply" for x in lines[j : j + 3]):
@@ -338,51 +346,103 @@ def source_side(n: int, supply: list[int], links: list[tuple[int, int, int]]) ->
             i = to[e ^ 1]
 
 
-def furniture(markdown: str | None) -> list[int]:
-    """Numbers, from 1, of the non-blank lines of a page that are not main body."""
-    return [no for x, body in labelled(markdown) if not body for no in range(x.first, x.last + 1)]
+def furniture(markdown: str | None, repeated: frozenset[int] = frozenset()) -> list[int]:
+    """Numbers, from 1, of the non-blank lines of a page that are not main body; repeated: numbers of those that its site repeats."""
+    return [no for x, body in labelled(markdown, repeated) if not body for no in range(x.first, x.last + 1)]
 
 
-def labelled(markdown: str | None) -> list[tuple[Line, bool]]:
+def labelled(markdown: str | None, repeated: frozenset[int] = frozenset()) -> list[tuple[Line, bool]]:
     """Each node of a page and whether it is main body."""
     lines = read_lines(markdown or "")
     if not lines:
         return []
     supply = [x.body - x.furniture for x in lines]
+    with_site = [s - REPEATED if x.first in repeated and not x.role and x.kind not in ("heading", "code", "table") else s for x, s in zip(lines, supply)]
+    found = _cut(lines, with_site)
+    return found if with_site == supply or any(body for x, body in found if x.kind != "heading") else _cut(lines, supply)
+
+
+def _cut(lines: list[Line], supply: list[int]) -> list[tuple[Line, bool]]:
     if all(x >= 0 for x in supply):
         return [(x, True) for x in lines]
-    keep = source_side(len(lines), supply, edges(lines))
+    links, supply = edges(lines), list(supply)
+    for i, _, price in links:
+        if lines[i].role == "says" and price > HANG:
+            supply[i] -= SENTENCE  # however long the comment is, its head outweighs it
+    keep = source_side(len(lines), supply, links)
     return [(x, k or (s == 0 and x.kind in ("code", "table"))) for x, k, s in zip(lines, keep, supply)]
 
 
+def _marked(pages: DataFrame) -> tuple[DataFrame, np.ndarray | None]:
+    """pages (page_id, markdown) with what tells the lines that their site repeats: the hash of the site (site) and the sorted
+    hashes of these lines in their sites, while they are few; otherwise an array of line numbers (lines), and no hashes."""
+    read = R.written(R.read_lines(pages))
+    docs = R._small(R.numbered(read))
+    lines = R.numbered_lines(read, docs)
+    held = R.cut_lineage(R.repeated(R.bitmaps(lines), DOCUMENTS))
+    keys = R.cut_lineage(held.select("site", "key").distinct())
+    if keys.count() <= R.FEW_ROWS:
+        table = keys.toArrow()
+        both = R.mix(np.asarray(table["site"]).view(np.uint64) ^ R.mix(np.asarray(table["key"]).view(np.uint64)))
+        return pages.select("page_id", "markdown", F.xxhash64(site_of(F.col("source_url"))).alias("site")), np.sort(both)
+    marks = R.found_in(lines, held).groupBy("page_id").agg(F.collect_set("line_no").alias("lines"))
+    return pages.select("page_id", "markdown").join(marks, "page_id", "left"), None
+
+
+def _repeated_in(batch: pa.RecordBatch, known: np.ndarray | None) -> list[frozenset[int]]:
+    """Numbers of the repeated lines of each page of a batch."""
+    if "lines" in batch.schema.names:
+        return [frozenset(x or ()) for x in batch["lines"].to_pylist()]
+    if known is None or not len(known):
+        return [frozenset()] * batch.num_rows
+    counts, _, key = R.line_hashes(batch["markdown"].to_pylist())
+    both = R.mix(np.repeat(np.asarray(batch["site"]).view(np.uint64), counts) ^ R.mix(key))
+    hit = (key != 0) & (known[np.minimum(np.searchsorted(known, both), len(known) - 1)] == both)
+    page = np.repeat(np.arange(len(counts)), counts)
+    no = np.arange(len(key)) - np.repeat(np.cumsum(counts) - counts, counts) + 1
+    out: list[set[int]] = [set() for _ in range(batch.num_rows)]
+    for p, x in zip(page[hit].tolist(), no[hit].tolist()):
+        out[p].add(x)
+    return [frozenset(x) for x in out]
+
+
+def _prepared(pages: DataFrame) -> tuple[DataFrame, object]:
+    """Pages with their evidence of repetition, if they have addresses, and the broadcast hashes of repeated lines."""
+    marked, known = _marked(pages) if "source_url" in pages.columns else (pages.select("page_id", "markdown"), None)
+    return marked, pages.sparkSession.sparkContext.broadcast(known)
+
+
 def furniture_lines(pages: DataFrame) -> DataFrame:
-    """(page_id, line_no) of the non-blank lines of (page_id, markdown) that are not main body.
+    """(page_id, line_no) of the non-blank lines of (page_id, markdown, source_url) that are not main body.
 
     Lines are split at line feeds and counted from 1. Null, empty and blank markdown has no lines; repeated rows are
-    treated alike; extra columns are ignored.
+    treated alike; extra columns are ignored. Without the column source_url, and for pages without a site, lines are
+    judged by themselves. A page_id that several pages have shares their repeated lines.
     """
+    marked, known = _prepared(pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [furniture(x) for x in batch["markdown"].to_pylist()]
+            found = [furniture(x, r) for x, r in zip(batch["markdown"].to_pylist(), _repeated_in(batch, known.value))]
             at = pa.array([i for i, some in enumerate(found) for _ in some], pa.int64())
             yield pa.RecordBatch.from_arrays([batch["page_id"].take(at), pa.array([x for some in found for x in some], pa.int32())], names=["page_id", "line_no"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return pages.select("page_id", "markdown").mapInArrow(run, f"page_id {kind}, line_no int")
+    return marked.mapInArrow(run, f"page_id {kind}, line_no int")
 
 
 def main_body(pages: DataFrame) -> DataFrame:
-    """(page_id, markdown): the text of (page_id, markdown) without the lines that are not main body; null stays null."""
+    """(page_id, markdown): the text of (page_id, markdown, source_url) without the lines that are not main body; null stays null."""
+    marked, known = _prepared(pages)
 
-    def clean(text: str | None) -> str | None:
-        drop = set(furniture(text))
+    def clean(text: str | None, repeated: frozenset[int]) -> str | None:
+        drop = set(furniture(text, repeated))
         return text if not drop else "\n".join(x for no, x in enumerate(text.split("\n"), 1) if no not in drop).strip("\n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pa.array([clean(x) for x in batch["markdown"].to_pylist()], pa.string())
+            texts = pa.array([clean(x, r) for x, r in zip(batch["markdown"].to_pylist(), _repeated_in(batch, known.value))], pa.string())
             yield pa.RecordBatch.from_arrays([batch["page_id"], texts], names=["page_id", "markdown"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return pages.select("page_id", "markdown").mapInArrow(run, f"page_id {kind}, markdown string")
+    return marked.mapInArrow(run, f"page_id {kind}, markdown string")

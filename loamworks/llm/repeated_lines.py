@@ -121,6 +121,19 @@ def _small(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= FEW_ROWS else rows
 
 
+def numbered_lines(read: DataFrame, docs: DataFrame) -> DataFrame:
+    """(page_id, line_no, site, raw, key, doc) of each line with a letter, from what read_lines and numbered give."""
+    line = F.posexplode(F.arrays_zip("raws", "keys")).alias("at", "line")
+    lines = read.join(docs, ["site", "url"]).select("page_id", "site", "doc", line).where("line.keys <> 0")
+    return lines.select("page_id", (F.col("at") + 1).alias("line_no"), "site", F.col("line.raws").alias("raw"), F.col("line.keys").alias("key"), "doc")
+
+
+def found_in(lines: DataFrame, held: DataFrame) -> DataFrame:
+    """(page_id, line_no) of the lines whose document is in the bitmap (site, key, word, bits) of their letters."""
+    found = lines.withColumn("word", F.shiftright("doc", 6)).join(held, ["site", "key", "word"])
+    return found.where("bits & shiftleft(1L, cast(doc & 63 as int)) <> 0").select("page_id", "line_no")
+
+
 def repeated_lines(pages: DataFrame, least: int = 8) -> DataFrame:
     """(page_id, line_no) of every occurrence of a line that stands on ``least`` or more documents of its site.
 
@@ -129,13 +142,8 @@ def repeated_lines(pages: DataFrame, least: int = 8) -> DataFrame:
     ignored, an empty table gives no rows.
     """
     read = written(read_lines(pages))
-    docs = _small(numbered(read))
-    line = F.posexplode(F.arrays_zip("raws", "keys")).alias("at", "line")
-    lines = read.join(docs, ["site", "url"]).select("page_id", "site", "doc", line).where("line.keys <> 0")
-    lines = lines.select("page_id", (F.col("at") + 1).alias("line_no"), "site", F.col("line.raws").alias("raw"), F.col("line.keys").alias("key"), "doc")
-    held = _small(repeated(bitmaps(lines), least))
-    found = lines.withColumn("word", F.shiftright("doc", 6)).join(held, ["site", "key", "word"])
-    return found.where("bits & shiftleft(1L, cast(doc & 63 as int)) <> 0").select("page_id", "line_no")
+    lines = numbered_lines(read, _small(numbered(read)))
+    return found_in(lines, _small(repeated(bitmaps(lines), least)))
 
 
 def without_repeated_lines(pages: DataFrame, least: int = 8) -> DataFrame:

@@ -164,3 +164,26 @@ def test_short_pieces_are_absorbed_before_the_least_size_applies():
     assert sizes((0, 100), (1, 15), (0, 5), (1, 15), (0, 100)) == [(0, 100), (1, 30), (0, 100)]
     assert sizes((0, 100), (1, 15), (0, 100)) == [(0, 200)] and sizes((0, 100), (1, 15)) == [(0, 100)]
     assert sizes((0, 30), (1, 5), (0, 10), (1, 8), (0, 2), (1, 7)) == [(0, 40)]
+
+
+@pytest.mark.parametrize("few", [1_000_000, 0])
+def test_furniture_in_unseen_words_is_what_the_site_repeats(spark, monkeypatch, few):
+    monkeypatch.setattr(B.R, "FEW_ROWS", few)
+    head, foot = "Ga naar de inhoud\n\nWij plaatsen kleine bestanden op uw toestel om de site te verbeteren.", "Deel dit verhaal met uw vrienden en buren.\n\nUitgegeven door de stichting aan de kade, overname alleen met toestemming."
+    rows = [(i, f"https://site.test/{i}", f"{head}\n\n# Verhaal {i}\n\nDit is zin {'abcdefgh'[i]} van het verhaal over de haven.\nEn nog een zin {'hgfedcba'[i]} over het water.\n\n{foot}", "x") for i in range(8)]
+    rows += [(20, None, head, "x"), (21, "https://other.test/1", f"{head}\n\nTekst.", "x"), (22, "https://site.test/22", None, "x")]
+    rows += [(30 + i, f"https://site.test/e{i}", "De server antwoordt niet op dit moment.", "x") for i in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, source_url string, markdown string, lines string")
+    got = {}
+    for r in B.furniture_lines(df).collect():
+        got.setdefault(r.page_id, set()).add(r.line_no)
+    assert got == {i: {1, 3, 10, 12} for i in range(8)} | {x: got[x] for x in (20, 21) if x in got}
+    assert not any(x in got for x in range(30, 36))  # an answer in place of a body stays
+    assert B.main_body(df.where("page_id = 3")).first().markdown.startswith("Ga naar")  # one page repeats nothing
+
+
+def test_long_lines_and_long_comments_are_judged_too():
+    footer = "© 2024 " + "Some publisher of many books and papers, " * 12
+    comment = "\n".join(["Ann writes:", *[f"My line {i} of a long comment goes on here." for i in range(20)], "Reply"])
+    found = B.furniture(f"# Title\n\nThe story is told in this sentence of the page.\n\n{comment}\n\n{footer}")
+    assert found == [*range(5, 27), 28]
