@@ -10,6 +10,7 @@ stays connected with the source is the body.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import deque
 from collections.abc import Iterator
@@ -109,6 +110,7 @@ _PRICE = re.compile(r"(?:\d+[.,]\d{2}|[$€£] ?\d+)\s*(?:[$€£]|eur|usd)?$",
 _SPLIT = re.compile(r"\s+(?:·|\||•|–|/|»|›)\s+|\s{3,}")
 _TEASER = re.compile(r"\[\s?(?:\.\.\.|…)\s?\]$|\((?:more|mehr|suite|más)\)$", re.I)
 _BOLD = re.compile(r"^(?:\*\*|__)[^*_]+(?:\*\*|__)$")
+_TURNING = frozenset("←→«»<>‹›:")
 _ASIDE = re.compile(r"\s*\([^()]*\)\.?$")
 _RESIDUE = re.compile(r"[{}%@#$<>_\[\]]{1,2} ?[\w.: -]{2,40} ?[}%@>\]_]{1,2}|^(?:undefined|null|nan|none|\(empty string\)|\[object object\])(?:\s|$)|^ID \d+$", re.I)
 
@@ -145,23 +147,29 @@ def letters(text: str) -> str:
 
 
 def _judged(first: int, raw: str, gap: bool) -> Line:
-    """The classifier's view of one line that is neither code nor table."""
+    text, kind, body, evidence, role = _seen(raw)
+    return Line(first, first, text, kind, body, evidence, role, gap)
+
+
+@functools.lru_cache(maxsize=1 << 16)
+def _seen(raw: str) -> tuple[str, str, int, int, str]:
+    """The classifier's view of one line that is neither code nor table: its text, kind, evidence for body and furniture, role."""
     text = _LINK.sub(r"\1", raw) if "](" in raw else raw
     mark = _MARK.match(text)
     plain = text[mark.end() :] if mark else text
     heading = bool(mark) and text[0] == "#"
     plain = plain.strip().strip("*_").strip()
-    low = re.sub(r"\s+", " ", plain.lower())
+    low = " ".join(plain.lower().split())
     key = letters(low)
     words = key.count(" ") + 1 if key else 0
 
-    def as_(kind: str, body: int, furniture: int, role: str = "") -> Line:
-        return Line(first, first, plain, kind, body, furniture, role, gap)
+    def as_(kind: str, body: int, furniture: int, role: str = "") -> tuple[str, str, int, int, str]:
+        return plain, kind, body, furniture, role
 
     kind = "heading" if heading else "item" if mark else "short" if words <= 3 else "prose"
     if low.startswith(CONSENT):
         return as_(kind, 0, 120, "consent")
-    if key in NOTICE or letters(_ASIDE.sub("", low)) in NOTICE or _DATED.match(plain) or (words <= 8 and _BYLINE.match(plain)):
+    if key in NOTICE or (low.endswith((")", ").")) and letters(_ASIDE.sub("", low)) in NOTICE) or _DATED.match(plain) or (words <= 8 and _BYLINE.match(plain)):
         return as_(kind, 90, 0, "date")
     if key in SERVICE or _COUNTED.match(low):
         return as_(kind, 0, 120, "service")
@@ -179,11 +187,11 @@ def _judged(first: int, raw: str, gap: bool) -> Line:
         return as_(kind, 0, 120, "says")
     if words <= 12 and RELATED.fullmatch(low.rstrip(":")):
         return as_(kind, 0, 120, "related")
-    if (_CRUMB_HOME.match(plain) or _CRUMB.match(plain)) and not plain.endswith((".", "?", "!")):
+    if not plain.endswith((".", "?", "!")) and (_CRUMB_HOME.match(plain) or _CRUMB.match(plain)):
         return as_(kind, 0, 120, "crumb")
     if key in MENU:
         return as_(kind, 0, 50, "menu")
-    if _TURN.match(plain) and not ("«" in plain and "»" in plain):
+    if not _TURNING.isdisjoint(plain) and _TURN.match(plain) and not ("«" in plain and "»" in plain):
         return as_(kind, 0, 80, "turn")
     if _TEASER.search(plain):
         return as_("prose", 0, 90, "teaser")

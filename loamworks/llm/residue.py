@@ -44,14 +44,23 @@ ea eiusmod eiusdem elit elitum enim esse est et eu ex excepta excepteur exerci e
 non nostrud nostrum nulla nullam occae occaecat officia pariat pariatur porta proident qui quis reprehenderit sed sedo sint sit sitam sunt tempor tempora ullamco ut velit velitum veniam viverra voluptate""".split()
 )
 EMPTY = re.compile(r"(?:(?:undefined|null|nan|none|\[object object\]|\(empty string\)|\(null\)|n/a)\s*)+", re.I)
-MESSAGE = re.compile(
-    r"\bjavascript\b|schiefgelaufen|algo ha fallado|inténtelo más tarde|réessayez plus tard|needs scripts to run|does not support scripting|allow scripts for this site|page is gone\b|page not found|does not exist on this server|access denied|do not have permission to view"
-    r"|internal server error|something broke on our side|too many requests|sent more calls than allowed|bad gateway|invalid response\b|service temporarily unavailable|under maintenance or too busy|application error"
-    r"|unhandled exception occurred|session has expired|sign in once more|checking your browser|you are not a robot|braucht skripte|seite nicht gefunden|gibt es auf diesem server nicht|zugriff verweigert"
-    r"|keine berechtigung für|wartungsarbeiten|dienst ist gerade nicht|besoin de scripts|erreur interne|un problème est survenu|page introuvable|n'existe plus sur ce serveur|accès refusé|página no encontrada"
-    r"|ya no existe en este servidor|servicio no disponible|acceso denegado|necesita scripts|no tiene permiso",
-    re.I,
-)
+MESSAGES = (
+    "javascript", "schiefgelaufen", "algo ha fallado", "inténtelo más tarde", "réessayez plus tard", "needs scripts to run",
+    "does not support scripting", "allow scripts for this site", "page is gone", "page not found",
+    "does not exist on this server", "access denied", "do not have permission to view", "internal server error",
+    "something broke on our side", "too many requests", "sent more calls than allowed", "bad gateway", "invalid response",
+    "service temporarily unavailable", "under maintenance or too busy", "application error", "unhandled exception occurred",
+    "session has expired", "sign in once more", "checking your browser", "you are not a robot", "braucht skripte",
+    "seite nicht gefunden", "gibt es auf diesem server nicht", "zugriff verweigert", "keine berechtigung für",
+    "wartungsarbeiten", "dienst ist gerade nicht", "besoin de scripts", "erreur interne", "un problème est survenu",
+    "page introuvable", "n existe plus sur ce serveur", "accès refusé", "página no encontrada", "ya no existe en este servidor",
+    "servicio no disponible", "acceso denegado", "necesita scripts", "no tiene permiso",
+)
+
+#: The longest word of each message, and the messages that it stands for.
+_ANCHORS: dict[str, list[str]] = {}
+for _x in MESSAGES:
+    _ANCHORS.setdefault(max(_x.split(), key=len), []).append(_x)
 
 _CODE = re.compile(r"^[ \t]*(```|~~~).*?(?:^[ \t]*\1[ \t]*$|\Z)", re.M | re.S)
 _TICKS = re.compile(r"`[^`\n]*`")
@@ -120,6 +129,12 @@ def statements(title: str | None, markdown: str | None) -> tuple[list[str], bool
     return out, not rest, len(said) < len(left)
 
 
+def is_known(said: list[str]) -> bool:
+    """Whether the statements are known messages, or one of them is and all are short."""
+    hits = [any(x in one for w in _ANCHORS.keys() & set(one.split()) for x in _ANCHORS[w]) for one in said]
+    return all(hits) or (any(hits) and sum(len(x.split()) for x in said) <= 12 * len(said))
+
+
 def terms(url: str | None, title: str | None) -> set[str]:
     """Words of four letters or more of the path of an address; those of the title if it has none."""
     path = (url or "").lower().split("://")[-1].partition("/")[2].partition("?")[0]
@@ -152,9 +167,7 @@ def answers(pages: DataFrame) -> DataFrame:
                 if empty and (named or not said):
                     rows.append((True, False, named, match, 0, []))
                 elif said and match < MATCH:
-                    words = [w for x in said for w in x.split()]
-                    known = all(MESSAGE.search(x) for x in said) or (MESSAGE.search(" ".join(said)) is not None and len(words) <= 12 * len(said))
-                    rows.append((False, known, named, match, len(words), said))
+                    rows.append((False, is_known(said), named, match, sum(len(x.split()) for x in said), said))
                 else:
                     rows.append(None)
             some = [i for i, x in enumerate(rows) if x]
