@@ -14,7 +14,9 @@ EmbeddingBackend = Literal["hashing", "openai", "gemini", "voyage", "cohere"]
 class Settings:
     """All numbers a run depends on. A count of 0 or less given to a component means "use the setting"."""
 
+    # Numbers and names that results depend on.
     embedding_backend: str = "hashing"
+    embedding_model: str = "text-embedding-3-large"
     embedding_dimension: int = 256
     embedding_batch: int = 128
     embedding_retries: int = 6

@@ -6,6 +6,7 @@ import hashlib
 import random
 import time
 from collections.abc import Callable, Iterator
+from dataclasses import replace
 from typing import Protocol
 
 import numpy as np
@@ -49,22 +50,31 @@ class HashingEmbedder:
 
 #: Factories by provider. Providers that need a network are plugged in with ``register``.
 PROVIDERS: dict[str, Callable[[Settings], Embedder]] = {"hashing": lambda s: HashingEmbedder(s.embedding_dimension)}
-#: Providers that answer questions but offer no embeddings (fixed values).
-CHAT_ONLY = ("anthropic", "groq", "openrouter", "deepseek", "xai")
+#: Names of providers that answer questions but offer no embeddings, and what to tell who asks for them (names: fixed values).
+CHAT_ONLY = {"anthropic": "it recommends voyage", "claude": "it recommends voyage", "groq": "choose openai, gemini, voyage or cohere"}
+#: Model that settings name unless told otherwise, and that of each provider that a network backend has by default (fixed values).
+DEFAULT_MODELS = {"openai": "text-embedding-3-large", "gemini": "gemini-embedding-001", "voyage": "voyage-3-large", "cohere": "embed-v4.0"}
 
 
 def register(name: str, factory: Callable[[Settings], Embedder]) -> None:
     PROVIDERS[name] = factory
 
 
-def get_embedder(name: str | None = None, settings: Settings | None = None) -> Embedder:
+def model_for(backend: str, model: str) -> str:
+    """The model of a backend: OpenAI's default named for another provider means that provider's own default."""
+    return DEFAULT_MODELS.get(backend, model) if model == DEFAULT_MODELS["openai"] else model
+
+
+def get_embedder(name: str | None = None, settings: Settings | None = None, model: str | None = None) -> Embedder:
     settings = settings or Settings()
     name = (name or settings.embedding_backend).lower()
     if name in CHAT_ONLY:
-        raise ValueError(f"{name} has no embeddings; choose another embedding backend")
+        raise ValueError(f"{name} only chats and has no embeddings: {CHAT_ONLY[name]}")
+    if name in DEFAULT_MODELS and name not in PROVIDERS:
+        raise ValueError(f"{name} needs a network: plug its client in with register({name!r}, factory)")
     if name not in PROVIDERS:
         raise ValueError(f"unknown embedding backend {name!r}; known: {sorted(PROVIDERS)}")
-    return PROVIDERS[name](settings)
+    return PROVIDERS[name](replace(settings, embedding_backend=name if name in DEFAULT_MODELS else settings.embedding_backend, embedding_model=model_for(name, model or settings.embedding_model)))
 
 
 def embed_with_retry(embedder: Embedder, texts: list[str], purpose: str, attempts: int, wait: Callable[[float], None] = time.sleep) -> list[list[float]]:
@@ -73,6 +83,8 @@ def embed_with_retry(embedder: Embedder, texts: list[str], purpose: str, attempt
         try:
             vectors = embedder.embed(texts, purpose)
             break
+        except (ValueError, TypeError, KeyError, AttributeError):
+            raise  # a wrong request stays wrong
         except Exception:
             if attempt == attempts:
                 raise

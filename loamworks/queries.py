@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loamworks.config import Settings
 from loamworks.functions import text as X
 from loamworks.functions import tokens as T
 from loamworks.functions import urls as U
-from loamworks.functions.chunking import Budget, chunk_pages
+from loamworks.functions.chunking import Budget, chunk_array, chunk_pages
 from loamworks.functions.embedding import cosine, embedding
 from loamworks.functions.html import html_to_markdown
 from loamworks.operators import collection, crawl, dedup, jobs, search
-from loamworks.operators.lineage import cut_lineage
+from loamworks.operators.lineage import cut_lineage, shared_folder
 from loamworks.plans import rag
+from loamworks.plans.ingest import Engine
 from loamworks.schemas import CHUNK_METADATA
 from loamworks.streaming.incremental import pages_by_window
 
@@ -52,10 +55,10 @@ def escaped(text):
     return F.replace(F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit('"'), F.lit("&quot;"))
 
 
-def url_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """First row of each normalised URL of crawled_pages."""
+def url_pages(spark: SparkSession, folder: str, *more: str) -> DataFrame:
+    """First row of each normalised URL of crawled_pages, with more of its columns."""
     pages = table(spark, folder, "crawled_pages").withColumn("url", U.normalize_url(F.col("source_url"))).where(U.is_valid_url(F.col("url")))
-    return dedup.keep_first(pages.select("url", "page_id", "page_title", "markdown", "content_type", "links"), "url", ["page_id"])
+    return dedup.keep_first(pages.select("url", "page_id", "page_title", "markdown", "content_type", "links", *more), "url", ["page_id"])
 
 
 _NORM = "case when regexp_replace({0}, '#.*$', '', 's') ~ '^/*$' then regexp_replace({0}, '#.*$', '', 's') else regexp_replace(regexp_replace({0}, '#.*$', '', 's'), '/+$', '') end"
@@ -82,16 +85,30 @@ def x01(spark, folder):
     return table(spark, folder, "crawled_pages").select("page_id", U.normalize_url(F.col("source_url")).alias("url"))
 
 
+_BASE = "regexp_extract(base, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)"
+
+
 @query(
     "x02_join_url",
-    f"""with l as (select page_id, source_url, links, unnest(range(1, len(links) + 1)) as i from crawled_pages where {_VALID.format("source_url")})
-    select page_id, cast(i - 1 as bigint) as pos, regexp_extract(source_url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || regexp_extract(links[i], '^[a-z]+://[^/?#]*(/.*)$', 1) as url
-    from l where regexp_matches(links[i], '^[a-z]+://[^/?#]*/[a-z].*$')""",
+    f"""with l as (select page_id, {_n("source_url")} as base, links, unnest(range(1, len(links) + 1)) as i from crawled_pages where {_VALID.format("source_url")}),
+    p as (select page_id, base, i, regexp_extract(links[i], '^[a-z]+://[^/?#]*(/?.*)$', 1) as path from l where regexp_matches(links[i], '^https?://[^/?#]+')),
+    f as (select *, unnest([0, 1, 2, 3, 4]) as form, {_BASE} as root, regexp_replace(regexp_extract(base, '^[^?#]*', 0), '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)(.*/)?.*$', '\\2') as folder from p)
+    select page_id, cast(i - 1 as bigint) as pos, cast(form as bigint) as form, case form
+      when 0 then root || '/x' || i || path
+      when 1 then root || case when folder = '' then '/' else folder end || 'next-' || i || '.html?p=' || i
+      when 2 then regexp_extract(base, '^[^?#]*', 0) || '?q=' || i
+      when 3 then base || '#part-' || i
+      else regexp_extract(base, '^([A-Za-z][A-Za-z0-9+.-]*:)', 1) || '//other.test/' || i end as url from f""",
 )
 def x02(spark, folder):
-    pages = table(spark, folder, "crawled_pages").where(U.is_valid_url(F.col("source_url"))).select("page_id", "source_url", F.posexplode("links").alias("pos", "link"))
-    path = F.regexp_extract("link", r"^[a-z]+://[^/?#]*(/.*)$", 1)
-    return pages.where(F.col("link").rlike(r"^[a-z]+://[^/?#]*/[a-z].*$")).select("page_id", F.col("pos").cast("long").alias("pos"), U.join_url(F.col("source_url"), path).alias("url"))
+    """Each link of a page as a root path, a relative one, a query, a fragment and a host, resolved against the page."""
+    pages = table(spark, folder, "crawled_pages").where(U.is_valid_url(F.col("source_url")))
+    links = pages.select("page_id", U.normalize_url(F.col("source_url")).alias("base"), F.posexplode("links").alias("pos", "link")).where(F.col("link").rlike("^https?://[^/?#]+"))
+    i = (F.col("pos") + 1).cast("string")
+    path = F.regexp_extract("link", r"^[a-z]+://[^/?#]*(/?.*)$", 1)
+    forms = [F.concat(F.lit("/x"), i, path), F.concat(F.lit("next-"), i, F.lit(".html?p="), i), F.concat(F.lit("?q="), i), F.concat(F.lit("#part-"), i), F.concat(F.lit("//other.test/"), i)]
+    each = links.select("page_id", "base", F.col("pos").cast("long").alias("pos"), F.posexplode(F.array(*forms)).alias("form", "href"))
+    return each.select("page_id", "pos", F.col("form").cast("long").alias("form"), U.join_url(F.col("base"), F.col("href")).alias("url"))
 
 
 @query("x03_sitemap_root", f"select page_id, regexp_extract(source_url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || '/sitemap.xml' as root from crawled_pages where {_VALID.format('source_url')}")
@@ -120,9 +137,11 @@ def x06(spark, folder):
     return table(spark, folder, "indexed_chunks").select("content_hash", X.uuid5(F.col("content_hash")).alias("uuid"))
 
 
-@query("x07_vector_literal")
+@query("x07_vector_literal", "with v as (select vec_id, embedding, unnest(range(1, len(embedding) + 1)) as i from embeddings) select vec_id, cast(i - 1 as bigint) as pos, round(embedding[i]::double, 6) as value from v")
 def x07(spark, folder):
-    return table(spark, folder, "embeddings").select("vec_id", X.vector_literal(F.col("embedding")).alias("literal"))
+    """Literals, read again as JSON."""
+    made = table(spark, folder, "embeddings").select("vec_id", X.vector_literal(F.col("embedding")).alias("literal"))
+    return made.select("vec_id", F.posexplode(F.from_json("literal", "array<float>")).alias("pos", "value")).select("vec_id", F.col("pos").cast("long").alias("pos"), F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
 @query(
@@ -141,9 +160,13 @@ def x10(spark, folder):
     return table(spark, folder, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
 
 
-@query("x11_flat_meta", "select event_id, json_extract_string(props, '$.k') as k from events")
+@query("x11_flat_meta", """select event_id, case event_id % 3 when 0 then event_type when 1 then '{"inner":"' || event_type || '"}' else '["' || event_type || '"]' end as field, json_extract_string(props, '$.k') as k from events""")
 def x11(spark, folder):
-    return table(spark, folder, "events").select("event_id", X.scalar_or_json(F.col("props"), "k").alias("k"))
+    """A string, an object or an array beside a number in one JSON object."""
+    kind = F.col("event_type")
+    nested = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('"'), kind, F.lit('"'))).when(F.col("event_id") % 3 == 1, F.concat(F.lit('{"inner":"'), kind, F.lit('"}'))).otherwise(F.concat(F.lit('["'), kind, F.lit('"]')))
+    made = table(spark, folder, "events").select("event_id", F.concat(F.lit('{"field":'), nested, F.lit(',"k":'), F.get_json_object("props", "$.k"), F.lit("}")).alias("json"))
+    return made.select("event_id", X.scalar_or_json(F.col("json"), "field").alias("field"), X.scalar_or_json(F.col("json"), "k").alias("k"))
 
 
 @query("x12_word_count", f"select doc_id, cast({_WORDS.format('text')} as bigint) as words from documents")
@@ -166,10 +189,24 @@ def x15(spark, folder):
     return table(spark, folder, "documents").select("doc_id", T.first_tokens(F.col("text"), 20, Settings().tokenizer).alias("head"))
 
 
-@query("x16_breadcrumb", "select chunk_no, array_to_string(string_split(metadata.section, ' > '), ' > ') as section, cast(len(string_split(metadata.section, ' > ')) as bigint) as levels from chunks")
+@query(
+    "x16_breadcrumb",
+    """select n_nationkey, 0::bigint as nth, r_name as section from nation join region on r_regionkey = n_regionkey
+    union all select n_nationkey, 1, r_name || ' > ' || n_name from nation join region on r_regionkey = n_regionkey
+    union all select s_suppkey + 1000000, 0, r_name || ' > ' || n_name || ' > ' || s_name from supplier join nation on n_nationkey = s_nationkey join region on r_regionkey = n_regionkey
+    union all select s_suppkey + 1000000, 1, r_name || ' > other' from supplier join nation on n_nationkey = s_nationkey join region on r_regionkey = n_regionkey""",
+)
 def x16(spark, folder):
-    path = F.split("metadata.section", " > ")
-    return table(spark, folder, "chunks").select("chunk_no", X.breadcrumb(path).alias("section"), F.size(path).cast("long").alias("levels"))
+    """Sections of pages whose headings are regions, nations and suppliers; each text is a chunk of its own."""
+    nation = table(spark, folder, "nation").join(table(spark, folder, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
+    small = nation.select("n_nationkey", F.concat(F.lit("# "), "r_name", F.lit("\n\nfirst text of it\n\n## "), "n_name", F.lit("\n\nsecond text of it")).alias("markdown"))
+    held = table(spark, folder, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    deep = held.select((F.col("s_suppkey") + 1_000_000).alias("n_nationkey"), F.concat(F.lit("# "), "r_name", F.lit("\n## "), "n_name", F.lit("\n### "), "s_name", F.lit("\n\nfirst text of it\n\n## other\n\nsecond text")).alias("markdown"))
+    pages = small.unionByName(deep)
+    budget = Budget(2, 8, -1).filled(Settings())
+    return pages.select(F.col("n_nationkey").cast("long").alias("n_nationkey"), F.posexplode(chunk_array(F.col("markdown"), budget)).alias("at", "c")).where(F.col("c.text").contains("text")).groupBy("n_nationkey", F.col("c.section").alias("section")).agg(F.min("at").alias("at")).select(
+        "n_nationkey", (F.row_number().over(W.partitionBy("n_nationkey").orderBy("at")) - 1).cast("long").alias("nth"), "section"
+    )
 
 
 @query(
@@ -232,8 +269,14 @@ def f08(spark, folder):
 
 @query("f13_metadata_filter", "select chunk_no from chunks where metadata.content_type = 'text/html' and metadata.chunk_index = 0")
 def f13(spark, folder):
-    made = table(spark, folder, "chunks").select("chunk_no", X.payload(F.col("metadata"), CHUNK_METADATA.names).alias("json"))
-    return made.where((F.get_json_object("json", "$.content_type") == "text/html") & (F.get_json_object("json", "$.chunk_index") == "0")).select("chunk_no")
+    made = table(spark, folder, "chunks").select("chunk_no", X.payload(F.col("metadata"), CHUNK_METADATA.names).alias("metadata"), F.lit("n").alias("namespace"))
+    return search.narrowed(made, search.profile("pinecone"), "n", {"content_type": "text/html", "chunk_index": 0}).select("chunk_no")
+
+
+@query("f12_namespace", "select chunk_no from chunks where metadata.content_type = 'text/html'")
+def f12(spark, folder):
+    made = table(spark, folder, "chunks").select("chunk_no", F.col("metadata.content_type").alias("namespace"), F.lit("{}").alias("metadata"))
+    return search.narrowed(made, search.profile("pgvector"), "text/html", {"chunk_index": 0}).select("chunk_no")
 
 
 @query("f14_skip_empty", f"select doc_id from documents where {_STRIP.format('text')} <> ''")
@@ -292,9 +335,13 @@ def h07(spark, folder):
 # Chunks
 
 
+def _to_chunk(pages: DataFrame) -> DataFrame:
+    return pages.select(F.col("url").alias("source_url"), "page_title", "markdown", "parent_url", "content_type", "crawl_timestamp")
+
+
 @query("c07_chunks")
 def c07(spark, folder):
-    return chunk_pages(url_pages(spark, folder).select(F.col("url").alias("source_url"), "page_title", "markdown", F.lit(None).cast("string").alias("parent_url"), "content_type", F.lit(None).cast("timestamp").alias("crawl_timestamp")), Budget(200, 300, 40))
+    return chunk_pages(_to_chunk(url_pages(spark, folder, "parent_url", "crawl_timestamp")), Budget(200, 300, 40))
 
 
 @query("c04_chunk_counts")
@@ -302,6 +349,66 @@ def c04(spark, folder):
     return c07(spark, folder).groupBy("source_url").agg(F.count("*").alias("chunks"), F.max("token_count").alias("largest"))
 
 
+@query(
+    "c01_small_pages",
+    f"""with p as (select c_custkey, c_mktsegment, c_name, c_nationkey from customer)
+    select 'https://c.test/' || c_custkey as source_url, 0::bigint as chunk_index, c_mktsegment || ' > ' || c_name as section,
+      '# ' || c_mktsegment || chr(10) || chr(10) || 'one' || chr(10) || chr(10) || '```' || chr(10) || '# no heading' || chr(10) || chr(10) || 'x = ' || c_nationkey || chr(10) || '```' || chr(10) || chr(10) || '## ' || c_name || chr(10) || chr(10) || '| a | b |' || chr(10) || '| - | - |' as text from p""",
+)
+def c01(spark, folder):
+    """Pages below the target are one chunk: blocks joined by blank lines, code and table whole, the last heading's path."""
+    lines = [F.concat(F.lit("#   "), "c_mktsegment"), F.lit("one"), F.lit("\n\n```"), F.lit("# no heading\n"), F.concat(F.lit("x = "), F.col("c_nationkey").cast("string")), F.lit("```"), F.concat(F.lit("## "), "c_name"), F.lit("| a | b |"), F.lit("| - | - |\n\n")]
+    lines[0] = F.concat(F.lit("# "), "c_mktsegment")
+    return _sections(table(spark, folder, "customer"), F.concat(F.lit("https://c.test/"), F.col("c_custkey").cast("string")), F.concat_ws("\n", *lines), Budget(500, 600, -1))
+
+
+@query(
+    "c04_atomic_blocks",
+    """with o as (select o_custkey, string_agg('| ' || o_orderkey || ' | ' || o_orderstatus || ' |', chr(10) order by o_orderkey) as body from orders group by o_custkey)
+    select 'https://o.test/' || o_custkey as source_url, 0::bigint as chunk_index, '' as section, 'before' as text from o
+    union all select 'https://o.test/' || o_custkey, 1, '', body from o
+    union all select 'https://o.test/' || o_custkey, 2, 'after', '# after' || chr(10) || chr(10) || 'text' from o""",
+)
+def c04_atomic(spark, folder):
+    """A table beyond the limit stands alone and whole, what is before and after it apart."""
+    row = F.concat(F.lit("| "), F.col("o_orderkey").cast("string"), F.lit(" | "), "o_orderstatus", F.lit(" |"))
+    pages = table(spark, folder, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", row.alias("r")))).alias("rows"))
+    text = F.concat(F.lit("before\n"), F.array_join(F.transform("rows", lambda x: x["r"]), "\n"), F.lit("\n# after\ntext"))
+    return _sections(pages, F.concat(F.lit("https://o.test/"), F.col("o_custkey").cast("string")), text, Budget(3, 6, -1))
+
+
+@query(
+    "c05_overlap",
+    """select 'https://p.test/' || p_partkey as source_url, 0::bigint as chunk_index, '# ' || p_partkey || chr(10) || chr(10) || 'one two three' as text from part
+    union all select 'https://p.test/' || p_partkey, 1, ' two three' || chr(10) || chr(10) || 'four five six' from part
+    union all select 'https://p.test/' || p_partkey, 2, ' five six' || chr(10) || chr(10) || 'seven eight nine' from part""",
+)
+def c05(spark, folder):
+    """Each chunk but the first begins with the last two tokens of the one before."""
+    text = F.concat(F.lit("# "), F.col("p_partkey").cast("string"), F.lit("\n\none two three\n\nfour five six\n\nseven eight nine"))
+    made = _sections(table(spark, folder, "part"), F.concat(F.lit("https://p.test/"), F.col("p_partkey").cast("string")), text, Budget(3, 20, 2))
+    return made.select("source_url", "chunk_index", F.when(F.col("chunk_index") > 0, F.concat(F.lit(" "), "text")).otherwise(F.col("text")).alias("text"))
+
+
+def _sections(rows: DataFrame, url, markdown, budget: Budget) -> DataFrame:
+    none = lambda kind: F.lit(None).cast(kind)
+    pages = rows.select(url.alias("source_url"), none("string").alias("page_title"), markdown.alias("markdown"), none("string").alias("parent_url"), none("string").alias("content_type"), none("timestamp").alias("crawl_timestamp"))
+    return chunk_pages(pages, budget).select("source_url", F.col("chunk_index").cast("long").alias("chunk_index"), "section", "text")
+
+
+@query(
+    "h06_elements",
+    """select chunk_no, '## ' || s || chr(10) || chr(10) || 'a ' || s || ' b' || chr(10) || '1. ' || s || ' inner one inner two' || chr(10) || '2. last' || chr(10) || chr(10) || '- dot' || chr(10) || chr(10) || '```' || chr(10) || 'x' || chr(10) || s || chr(10) || '  y' || chr(10) || '```' || chr(10) || chr(10) || 'quoted' as markdown
+    from (select chunk_no, 'c' || chunk_no || ' & <t>' as s from chunks)""",
+)
+def h06(spark, folder):
+    """Headings, inline marks, nested and numbered lists, code and quotations; furniture by role, class and id goes."""
+    s = escaped(F.concat(F.lit("c"), F.col("chunk_no").cast("string"), F.lit(" & <t>")))
+    parts = ["<html><body><div role='Navigation'><p>gone</p></div><div id='cookie-bar'>gone</div><article><h2>", s, "</h2>loose text<div><p>a <b>", s, "</b> b</p></div><ol><li>", s, "<ul><li>inner one</li><li>inner two</li></ul></li><li>last</li></ol><ul><li>dot</li></ul><pre>x<code>", s, "</code>  y</pre><section class='x  share-box'><p>gone</p></section><blockquote><p>quoted</p></blockquote></article><p>outside</p></body></html>"]
+    html = F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    return table(spark, folder, "chunks").select("chunk_no", html_to_markdown(html, F.lit("https://a.test/")).alias("d")).select("chunk_no", "d.markdown")
+
+
 # Deduplication, ledger, jobs, collection
 
 
@@ -355,8 +462,6 @@ def r07(spark, folder):
 
 @query("r10_rank", "select chunk_no, metadata.source_url as source_url, row_number() over (partition by metadata.source_url order by chunk_no) as nth from chunks")
 def r10(spark, folder):
-    from pyspark.sql import Window as W
-
     rows = table(spark, folder, "chunks").select("chunk_no", "metadata.source_url")
     return rows.withColumn("nth", F.row_number().over(W.partitionBy("source_url").orderBy("chunk_no")).cast("long"))
 
@@ -405,10 +510,11 @@ def k09(spark, folder):
     return dedup.ledger_insert(ledger, _arrived(spark, folder).select("content_hash", "chunk_id", "batch_no", "arrival_id"), ["batch_no", "arrival_id"])
 
 
-@query("s10_job_state", "select job_id, lower(status) as status, pages_crawled from ingest_jobs")
+@query("s10_job_state", "select o_custkey as job_id, arg_max(case when o_orderstatus <> 'P' then o_orderstatus end, o_orderkey) as status, arg_max(o_orderpriority, o_orderkey) as url, max(o_orderkey) as seq from orders group by 1")
 def s10(spark, folder):
-    rows = table(spark, folder, "ingest_jobs").select("job_id", F.lower("status").alias("status"), "pages_crawled", F.lit(0).cast("long").alias("seq"))
-    return jobs.latest(rows).select("job_id", "status", "pages_crawled")
+    """State of jobs from their events; fields without a value keep the last one."""
+    events = table(spark, folder, "orders").select(F.col("o_custkey").alias("job_id"), F.expr("if(o_orderstatus <> 'P', o_orderstatus, null)").alias("status"), F.col("o_orderpriority").alias("url"), F.col("o_orderkey").alias("seq"))
+    return jobs.latest(events)
 
 
 # Crawls
@@ -488,44 +594,68 @@ def _vectors(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return v.where("id % 20 = 0").select(F.col("id").alias("qid"), "vector", "label"), v
 
 
-_SCORED = """with s as (select q.vec_id as qid, v.vec_id as id, v.label, round(list_cosine_similarity(q.embedding::double[], v.embedding::double[]), 12) as score
-  from embeddings q, embeddings v where q.vec_id % 20 = 0 {0}), r as (select *, row_number() over (partition by qid order by score desc, id) as rank from s)
+def _held(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The embeddings as rows of a collection, with their label as namespace and in the metadata, and each twentieth as a question."""
+    v = table(spark, folder, "embeddings").withColumn("id", F.col("vec_id").cast("string"))
+    even = (F.col("vec_id") % 2 == 0).alias("even")
+    meta = F.to_json(F.struct(F.concat(F.lit("https://v.test/"), "id").alias("source_url"), F.lit("t").alias("title"), F.col("label").cast("string").alias("section"), F.col("vec_id").alias("number"), even))
+    rows = v.select("id", "embedding", F.concat(F.lit("text "), "id").alias("text"), meta.alias("metadata"), F.concat(F.lit("n"), F.pmod("label", F.lit(2)).cast("string")).alias("namespace"))
+    return v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vector"), "label"), rows
+
+
+_HALF = """list_transform({0}::double[], lambda x: case when x = 0 then 0.0 else round_even(x / pow(2, greatest(floor(log2(abs(x))), -14) - 10), 0) * pow(2, greatest(floor(log2(abs(x))), -14) - 10) end)"""
+_BEST = """with v as (select vec_id, label, {0} as embedding from embeddings),
+  s as (select q.vec_id as qid, v.vec_id::varchar as id, v.vec_id as number, v.label, round(list_cosine_similarity(q.embedding, v.embedding), 12) as score from v q, v where q.vec_id % 20 = 0 {1}),
+  r as (select *, row_number() over (partition by qid order by score desc, id) as rank from s)
   """
+_POINT = """substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', ('0x' || substr(h, 17, 1))::int % 4 + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12)"""
+_HASHED = "(select *, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(id)) as h from r where rank <= 5)"
 
 
-def _shown(found: DataFrame, *more: str) -> DataFrame:
+def _shown(found: DataFrame, *more) -> DataFrame:
     return found.select("qid", F.col("rank").cast("long").alias("rank"), "id", F.round("score", 6).alias("score"), *more)
 
 
-@query("v01_vector_topk", _SCORED.format("") + "select qid, rank, id, round(score, 6) as score from r where rank <= 5")
+@query("v01_vector_topk", _BEST.format(_HALF.format("embedding"), "and v.label % 2 = 1") + "select qid, rank, id, round(score, 6) as score, 'text ' || id as text from r where rank <= 5")
 def v01(spark, folder):
-    asked, held = _vectors(spark, folder)
-    return _shown(search.top_k(asked, held, 5))
+    """Half precision, within one namespace."""
+    asked, rows = _held(spark, folder)
+    return _shown(search.search_many(rows, asked, 5, "pgvector", "n1"), "text")
 
 
-@query("v02_filtered_topk", _SCORED.format("and q.label = v.label") + "select qid, rank, id, round(score, 6) as score from r where rank <= 5")
+@query("v02_filtered_topk", _BEST.format("embedding::double[]", "and q.label = v.label") + "select qid, rank, number as id, round(score, 6) as score from (select *, row_number() over (partition by qid order by score desc, number) as rank from s) where rank <= 5")
 def v02(spark, folder):
-    """Each question looks at the vectors of its own namespace."""
+    """Each question looks at the vectors of its own label."""
     asked, held = _vectors(spark, folder)
     return _shown(search.top_k(asked, held, 5, by="label"))
 
 
-@query(
-    "v03_uuid_topk",
-    _SCORED.format("")
-    + """, d as (select *, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(cast(id as varchar))) as h from r where rank <= 5)
-    select qid, rank, id, round(score, 6) as score, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', ('0x' || substr(h, 17, 1))::int % 4 + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) as point from d""",
-)
+@query("v02_metadata_topk", _BEST.format("embedding::double[]", "and v.label % 2 = 0 and v.vec_id % 2 = 0 and v.label = 4") + "select qid, rank, id, round(score, 6) as score from r where rank <= 5")
+def v02_metadata(spark, folder):
+    """Within a namespace, with a boolean and a string of the metadata."""
+    asked, rows = _held(spark, folder)
+    return _shown(search.search_many(rows, asked, 5, "pinecone", "n0", {"even": True, "section": "4"}))
+
+
+@query("v03_uuid_topk", _BEST.format("embedding::double[]", "") + f"select qid, rank, id, round(score, 6) as score, {_POINT} as point, 'n' || label % 2 as namespace, number from {_HASHED}")
 def v03(spark, folder):
-    asked, held = _vectors(spark, folder)
-    return _shown(search.top_k(asked, held, 5).withColumn("point", X.uuid5(F.col("id").cast("string"))), "point")
+    """Points named by UUIDs; the namespace narrows nothing, but comes back with the metadata."""
+    asked, rows = _held(spark, folder)
+    found = search.search_many(rows, asked, 5, "qdrant", "n1", {"even": True})
+    return _shown(found, "point", F.get_json_object("metadata", "$.namespace").alias("namespace"), F.get_json_object("metadata", "$.number").cast("long").alias("number"))
+
 
+@query("v04_flat_topk", _BEST.format("embedding::double[]", "") + f"select qid, rank, id, round(score, 6) as score, {_POINT} as point, cast(label as varchar) as section from {_HASHED}")
+def v04(spark, folder):
+    asked, rows = _held(spark, folder)
+    return _shown(search.search_many(rows, asked, 5, "weaviate"), "point", F.get_json_object("metadata", "$.section").alias("section"))
 
-@query("v05_projected_topk", _SCORED.format("") + "select qid, rank, id, round(score, 6) as score, label from r where rank <= 5")
+
+@query("v05_projected_topk", _BEST.format("embedding::double[]", "") + """select qid, rank, id, round(score, 6) as score, '{"source_url":"https://v.test/' || id || '","title":"t","section":"' || label || '"}' as metadata from r where rank <= 5""")
 def v05(spark, folder):
-    """Fields are fetched for the best rows only."""
-    asked, held = _vectors(spark, folder)
-    return _shown(search.top_k(asked, held, 5).join(held.select("id", "label"), "id"), "label")
+    """Three fields of the metadata are fetched, for the best rows only."""
+    asked, rows = _held(spark, folder)
+    return _shown(search.search_many(rows, asked, 5, "milvus"), "metadata")
 
 
 @query("v06_index_topk")
@@ -543,7 +673,7 @@ def v07(spark, folder):
     return exact.join(found, ["qid", "id"], "left").groupBy("qid").agg(F.count("*").alias("wanted"), F.count("hit").alias("found"))
 
 
-@query("v08_half_topk")
+@query("v08_half_topk", _BEST.format(_HALF.format("embedding"), "") + "select qid, rank, number as id, round(score, 6) as score from (select *, row_number() over (partition by qid order by score desc, number) as rank from s) where rank <= 5")
 def v08(spark, folder):
     asked, held = _vectors(spark, folder)
     return _shown(search.top_k(asked, held, 5, half=True))
@@ -581,8 +711,6 @@ def e01(spark, folder):
     select qid, string_agg('[' || rank || '] ' || qid || case when coalesce(section, '') <> '' then ' — ' || section else '' end || chr(10) || text, chr(10) || chr(10) || '---' || chr(10) || chr(10) order by rank) as context from r where rank <= 5 group by qid""",
 )
 def e12(spark, folder):
-    from pyspark.sql import Window as W
-
     rows = table(spark, folder, "chunks").select(F.col("metadata.source_url").alias("qid"), F.col("metadata.source_url").alias("source_url"), "metadata.section", "text", F.row_number().over(W.partitionBy("metadata.source_url").orderBy("chunk_no")).alias("rank"))
     return rag.contexts(rows.where("rank <= 5"))
 
@@ -598,13 +726,36 @@ def st01(spark, folder):
     return pages_by_window(table(spark, folder, "crawled_pages")).select(F.col("start").cast("timestamp_ntz").alias("start"), "site", "pages")
 
 
+@query(
+    "a05_ingest_url",
+    """with l as (select c_nationkey, c_custkey, row_number() over (partition by c_nationkey order by c_custkey) as nth from customer),
+    f as (select c_custkey as seed_key, c_nationkey from l where nth = 1 and c_nationkey = (select min(c_nationkey) from customer))
+    select 'https://n' || c_nationkey || '.test/start' as source_url, 1::bigint as chunks from f
+    union all select 'https://n' || c_nationkey || '.test/' || c_custkey, 1 from l where c_nationkey = (select min(c_nationkey) from customer) and nth < 10""",
+)
+def a05_ingest_url(spark, folder):
+    """A site whose start page links to all customers of a nation, ingested twice with a budget of ten pages: what the ledger holds."""
+    address = lambda x: F.concat(F.lit("https://n"), F.col("c_nationkey").cast("string"), F.lit(".test/"), x)
+    customers = table(spark, folder, "customer")
+    words = F.lit(" word" * 25)
+    leaves = customers.select(address(F.col("c_custkey").cast("string")).alias("url"), F.col("c_name").alias("page_title"), F.concat(F.lit("# "), "c_name", F.lit("\n\nText of"), words).alias("markdown"), F.array().cast("array<string>").alias("links"))
+    links = F.transform(F.array_sort(F.collect_list("c_custkey")), lambda x: F.concat(F.lit("https://n"), F.col("c_nationkey").cast("string"), F.lit(".test/"), x.cast("string"), F.lit("/#top")))
+    starts = customers.groupBy("c_nationkey").agg(links.alias("links"))
+    starts = starts.select(address(F.lit("start")).alias("url"), F.lit("Start").alias("page_title"), F.concat(F.lit("# Start\n\nAll customers of a nation"), words).alias("markdown"), "links")
+    web = starts.unionByName(leaves).withColumn("content_type", F.lit("text/html"))
+    engine = Engine(spark, f"{shared_folder(spark)}/engine-{uuid.uuid4().hex}", Settings(embedding_dimension=DIM))
+    seed = f"https://n{customers.agg(F.min('c_nationkey')).first()[0]}.test/start/"
+    for _ in range(2):
+        engine.ingest_url(seed, web, max_depth=1, max_pages=10)
+    return engine.ledger().groupBy("source_url").agg(F.count("*").alias("chunks"))
+
+
 @query("a05_flagship")
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Pages to chunks, what is new of them embedded, and the five best passages for the title of every twentieth page."""
     settings = Settings()
-    pages = url_pages(spark, folder)
-    ready = crawl.usable(pages).select(F.col("url").alias("source_url"), "page_title", "markdown", F.lit(None).cast("string").alias("parent_url"), "content_type", F.lit(None).cast("timestamp").alias("crawl_timestamp"))
-    fresh = cut_lineage(dedup.new_chunks(chunk_pages(ready, Budget(200, 300, 40)), table(spark, folder, "indexed_chunks"), ["source_url", "chunk_index"]))
+    pages = url_pages(spark, folder, "parent_url", "crawl_timestamp")
+    fresh = cut_lineage(dedup.new_chunks(chunk_pages(_to_chunk(crawl.usable(pages)), Budget(200, 300, 40)), table(spark, folder, "indexed_chunks"), ["source_url", "chunk_index"]))
     held = fresh.select(F.xxhash64("content_hash").alias("id"), "content_hash", "source_url", "section", "text")
     vectors = held.select("id", embedding(F.col("text"), settings).alias("vector"))
     asked = pages.where("page_id % 20 = 0 and page_title is not null").select(F.col("page_id").alias("qid"), embedding(F.col("page_title"), settings, "query").alias("vector"))

@@ -7,7 +7,8 @@ import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "url string, html string, content_type string, error string"
@@ -29,6 +30,18 @@ def fetch(url: str, timeout: float = 30, attempts: int = 3, wait: Callable[[floa
     return url, None, None, error
 
 
+def fetched(urls: DataFrame, timeout: float = 30) -> DataFrame:
+    """(url, html, content_type, error) of the addresses (url), fetched where Spark puts their rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for url in batch["url"].to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.string()) for x in fetch(url or "", timeout)], names=["url", "html", "content_type", "error"])
+
+    spread = urls.select("url").distinct().repartition("url")
+    return spread.mapInArrow(run, SCHEMA)
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.urls = [u for u in options.get("urls", "").split("\n") if u.strip()]

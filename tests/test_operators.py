@@ -183,3 +183,27 @@ def test_search_profiles(spark):
     with pytest.raises(ValueError):
         V.profile("other")
     assert F is not None
+
+
+def test_collection_writes_what_changed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(K, "SEGMENTS", 3)
+    made = lambda rows: spark.createDataFrame([(i, [1.0], t, "{}", n, 0) for i, t, n in rows], "id string, embedding array<float>, text string, metadata string, namespace string, seq long")
+    c = K.Collection(spark, str(tmp_path / "c"))
+    c.upsert(made([("a", "1", "x"), ("b", "1", "x")]))
+    before, rows = c.version(), c.read()
+    c.upsert(made([("b", "2", "y"), ("c", "2", "y")]))
+    c.delete(spark.createDataFrame([("a",)], "id string"))
+    assert len(rows.collect()) == 2 and c.read(version=before).count() == 2  # a reader in between keeps its version
+    seen = lambda: sorted((r.id, r.text, r.namespace) for r in c.read().collect())
+    assert seen() == [("b", "2", "x"), ("c", "2", "y")] and c._manifest(c.version())["base"] == 0
+    assert len(list((tmp_path / "c").glob("segment-*2/*.parquet"))) and c.read("y").count() == 1
+    c.upsert(made([("a", "3", "z")]))
+    assert seen() == [("a", "3", "z"), ("b", "2", "x"), ("c", "2", "y")] and c._manifest(c.version())["segments"] == []
+    with pytest.raises(Exception, match="exist"):
+        c._commit({"base": 0, "segments": []}, c.version())
+
+
+def test_metadata_filter_compares_as_json(spark):
+    rows = spark.createDataFrame([("a", '{"b":true,"n":1,"s":"1"}'), ("c", '{"b":false,"s":null}')], "id string, metadata string")
+    ids = lambda where: [r.id for r in V.narrowed(rows, V.profile("pinecone").__class__(by_metadata=True), "", where).collect()]
+    assert ids({"b": True}) == ids({"n": 1}) == ids({"s": "1"}) == ["a"] and ids({"b": False}) == ids({"s": None}) == ["c"] and ids({"b": "True"}) == []

@@ -97,3 +97,18 @@ def test_http_source(spark, site):
     got = sorted(read_html(raw).collect())
     assert [r.url for r in got] == [f"{site}/a", f"{site}/b"] and got[0].links == [f"{site}/next"] and got[0].page_title == "T"
     assert read_html(raw, 26).count() == 0
+
+
+def test_ingest_from_a_url(spark, site, tmp_path):
+    engine = Engine(spark, str(tmp_path), SETTINGS, Budget(200, 300, 40))
+    bad = engine.ingest_url("ftp://a.test", pages(spark), job_id="bad")
+    assert bad.status == "failed" and bad.error.startswith("ValueError")
+    live = engine.ingest_url(f"{site}/a", max_depth=1)
+    assert (live.status, live.pages_crawled) == ("completed", 2) and engine.ingest_url(f"{site}/a", max_depth=0).pages_crawled == 1
+    text = "some words of the page " * 6
+    web = spark.createDataFrame([("https://w.test", "W", text + "w", "text/html", ["/x", "https://w.test/a/", "https://w.test/b"]), ("https://w.test/a", "A", text + "a", "text/html", []), ("https://w.test/b", "B", text + "b", None, [])], "url string, page_title string, markdown string, content_type string, links array<string>")
+    assert engine.ingest_url("https://w.test/", web, max_depth=1, max_pages=2).pages_crawled == 2
+    files = spark.createDataFrame([("https://w.test/sitemap.xml", "<urlset><url><loc>https://w.test/b</loc></url><url><loc>https://w.test/a</loc></url></urlset>")], "url string, xml string")
+    took = [engine.ingest_url("https://w.test", web, from_sitemap=True, sitemaps=files, max_pages=n) for n in (1, None)]
+    assert [(x.pages_crawled, x.chunks_new) for x in took] == [(1, 1), (2, 0)]
+    assert engine.ask("page").sources and {r.source_url for r in engine.ledger().collect()} >= {"https://w.test", "https://w.test/a", "https://w.test/b"}
