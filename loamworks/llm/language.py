@@ -30,7 +30,7 @@ _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+")
 _KANA = re.compile(r"[぀-ヿ㐀-鿿豈-﫿々〆ー]")
 _HIDDEN = re.compile("[­​-‏‪-‮⁠-⁤﻿\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 _FENCE = re.compile(r"^[ \t]*(```|~~~)[^\n]*\n.*?(?:^[ \t]*\1[ \t]*$|\Z)", re.M | re.S)
-_QUOTE = re.compile(r"\"[^\"\n]{1,400}\"|“[^”\n]{1,400}”|„[^“”\n]{1,400}[“”]|«[^»\n]{1,400}»|»[^«\n]{1,400}«|「[^」\n]{1,400}」|『[^』\n]{1,400}』")
+_QUOTE = re.compile(r"\"[^\"\n]+\"|“[^”\n]+”|„[^“”\n]+[“”]|«[^»\n]+»|»[^«\n]+«|「[^」\n]+」|『[^』\n]+』")
 _DROP = re.compile(r"^\s*(?:\|.*|[-*_=]{3,}|(?:\S*\d[\d.:/-]*,?\s+){1,3}\S+:?|[^\s]+ \(?\d{1,2}[.:]\d{2}\)?:?|@\S+:?|(?:https?://|www\.)\S+)\s*$")
 _UNIT = re.compile(r"(?<=[.!?…。！？])[\s)\"”»]+|(?<=[。！？])|\n+")
 _BROKEN = re.compile("[ÃÂÐÑÅâ][\u0080-¿Œ-Ÿ–-™]")
@@ -225,7 +225,6 @@ class Detector:
         ids: list[int] = []
         starts: list[int] = []
         owner: list[int] = []
-        kana: list[int] = []
         look = self.memo.__getitem__
         for at, text in enumerate(texts):
             if not text or text.isspace():
@@ -237,7 +236,6 @@ class Detector:
                     continue
                 starts.append(len(ids))
                 owner.append(at)
-                kana.append(japanese)
                 ids.extend(map(look, words))
         out: list[list[tuple[str, int, float]]] = [[] for _ in texts]
         if not ids:
@@ -246,14 +244,12 @@ class Detector:
         score = np.add.reduceat(np.array(self.memo.rows)[i], starts, axis=0)
         size = np.add.reduceat(np.array(self.memo.count)[i].astype(np.int64), starts)
         sure = np.add.reduceat(np.array(self.memo.sure)[i].astype(np.int64), starts)
-        if self.ja >= 0:
-            score[np.array(kana) >= 3, self.ja] += 1000
         lang = score.argmax(axis=1)
         top = score.max(axis=1, keepdims=True)
         chance = 1 / np.exp(np.maximum(score - top, -50)).sum(axis=1)
         per_text: dict[int, list[tuple[int, int, float]]] = defaultdict(list)
         for n, (o, x, s, k, p) in enumerate(zip(owner, lang.tolist(), size.tolist(), sure.tolist(), chance.tolist())):
-            if x != self.ja and (k == 0 or k * 4 < s or p < 0.5):
+            if k == 0 or k * 4 < s or p < 0.5:
                 if not per_text[o] or k == 0:
                     continue
                 x = per_text[o][-1][0]

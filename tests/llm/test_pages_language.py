@@ -187,3 +187,9 @@ def test_long_lines_and_long_comments_are_judged_too():
     comment = "\n".join(["Ann writes:", *[f"My line {i} of a long comment goes on here." for i in range(20)], "Reply"])
     found = B.furniture(f"# Title\n\nThe story is told in this sentence of the page.\n\n{comment}\n\n{footer}")
     assert found == [*range(5, 27), 28]
+
+
+def test_script_alone_decides_no_language():
+    model = L.Model([("これはペンです。それは本です。" * 3, "ja"), ("this is a pen and that is a book on the table", "en")])
+    found = L.Detector(model).find(["これは本です。それはペンです。" * 4, "天地玄黃宇宙洪荒日月盈昃辰宿列張寒來暑往秋收冬藏" * 3])
+    assert [x[0] for x in found[0]] == ["ja"] and found[1] == []
