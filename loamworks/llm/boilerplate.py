@@ -25,66 +25,83 @@ from loamworks.llm import repeated_lines as R
 from loamworks.llm.common import site_of
 
 # Labels and phrases of site furniture in English, German, French and Spanish, as their letters in lower case.
-MENU = frozenset(
-    """home|topics|pricing|status|shop|search|sign up|log in|press room|contact|gallery|start here|downloads|members area|help centre
-archive|guides|faq|community|careers|calendar|about us|site map|tutorials|docs|blog|news|help
-startseite|themen|hilfe|termine|registrieren|preise|kontakt|laden|presse|gemeinschaft|fragen und antworten|anmelden|archiv|über uns
-suche|anleitungen|galerie|stellen|übersicht|mitglieder
-accueil|agenda|tarifs|archives|connexion|téléchargements|boutique|communauté|inscription|recherche|à propos|aide|thèmes|galerie|questions
-inicio|temas|precios|tienda|buscar|registrarse|entrar|prensa|contacto|archivo|ayuda|descargas|comunidad|quiénes somos|guías|galería|preguntas""".replace("\n", "|").split("|")
-)
-SERVICE = frozenset(
-    """listen to this article|skip to main content|toggle dark mode|choose language|edit this page|report a mistake|back to top|open menu
-was this page helpful yes no|send by mail print copy address|share this page mail chat copy link|spread the word|tell a friend
-stay in the loop|get one letter a month no spam|enter your e mail address to subscribe|never miss an update sign up below
-change cookie settings|accept all only necessary manage choices|you can withdraw consent at any time|save my selection more options
-read the cookie policy|agree decline|ok got it
-seite bearbeiten|fehler melden|nach oben|menü öffnen|zum inhalt springen|war das hilfreich ja nein|drucken senden merken|weitersagen
-seite teilen mail chat link kopieren|ein brief im monat kein spam|mit ihrer e mail adresse anmelden|cookie einstellungen ändern
-zur cookie richtlinie|zustimmen ablehnen|auswahl speichern|alle annehmen nur notwendige auswahl
-haut de page|aller au contenu|signaler une erreur|ouvrir le menu|cette page vous a t elle aidé oui non|faites passer le mot
-partager courriel messagerie lien|une lettre par mois pas plus|saisissez votre adresse pour vous abonner|gérer les cookies
-enregistrer mes choix|lire la politique des cookies|tout accepter refuser choisir|accepter refuser
-volver arriba|saltar al contenido|abrir menú|avisar de un error|le ha servido esta página sí no|corra la voz
-compartir correo mensaje enlace|una carta al mes sin publicidad|escriba su correo para suscribirse|configurar cookies
-guardar mi selección|leer la política de cookies|aceptar todo rechazar elegir|aceptar rechazar""".replace("\n", "|").split("|")
-)
-FOOTER = frozenset(
-    """made with care in a small office|terms of use privacy imprint|registered trade mark of the publisher|all rights reserved
-no part of this site may be reproduced without permission|accessibility statement
-alle rechte vorbehalten|nachdruck nur mit genehmigung|impressum datenschutz agb
-tous droits réservés|reproduction interdite sans accord|mentions légales confidentialité
-todos los derechos reservados|prohibida la reproducción sin permiso|aviso legal privacidad""".replace("\n", "|").split("|")
-)
-NOTICE = frozenset(
-    """prices may change at any time without notice|photos show examples and may differ from the delivered item
-figures are rounded and were not audited|the information below is general and does not replace professional advice
-this text was first printed in our members magazine|test results depend on your own equipment and weather
-zahlen sind gerundet|die angaben sind allgemein und ersetzen keine beratung|preise können sich jederzeit ändern
-chiffres arrondis|ces informations sont générales et ne remplacent pas un conseil|les prix peuvent changer à tout moment
-cifras redondeadas|los datos son generales y no sustituyen el consejo profesional|los precios pueden cambiar sin aviso""".replace("\n", "|").split("|")
-)
+MENU = frozenset({
+    "home", "topics", "pricing", "status", "shop", "search", "sign up", "log in", "press room", "contact", "gallery",
+    "start here", "downloads", "members area", "help centre", "archive", "guides", "faq", "community", "careers",
+    "calendar", "about us", "site map", "tutorials", "docs", "blog", "news", "help", "startseite", "themen", "hilfe",
+    "termine", "registrieren", "preise", "kontakt", "laden", "presse", "gemeinschaft", "fragen und antworten",
+    "anmelden", "archiv", "über uns", "suche", "anleitungen", "galerie", "stellen", "übersicht", "mitglieder",
+    "accueil", "agenda", "tarifs", "archives", "connexion", "téléchargements", "boutique", "communauté", "inscription",
+    "recherche", "à propos", "aide", "thèmes", "questions", "inicio", "temas", "precios", "tienda", "buscar",
+    "registrarse", "entrar", "prensa", "contacto", "archivo", "ayuda", "descargas", "comunidad", "quiénes somos",
+    "guías", "galería", "preguntas",
+})
+SERVICE = frozenset({
+    "listen to this article", "skip to main content", "toggle dark mode", "choose language", "edit this page",
+    "report a mistake", "back to top", "open menu", "was this page helpful yes no", "send by mail print copy address",
+    "share this page mail chat copy link", "spread the word", "tell a friend", "stay in the loop",
+    "get one letter a month no spam", "enter your e mail address to subscribe", "never miss an update sign up below",
+    "change cookie settings", "accept all only necessary manage choices", "you can withdraw consent at any time",
+    "save my selection more options", "read the cookie policy", "agree decline", "ok got it", "seite bearbeiten",
+    "fehler melden", "nach oben", "menü öffnen", "zum inhalt springen", "war das hilfreich ja nein",
+    "drucken senden merken", "weitersagen", "seite teilen mail chat link kopieren", "ein brief im monat kein spam",
+    "mit ihrer e mail adresse anmelden", "cookie einstellungen ändern", "zur cookie richtlinie", "zustimmen ablehnen",
+    "auswahl speichern", "alle annehmen nur notwendige auswahl", "haut de page", "aller au contenu",
+    "signaler une erreur", "ouvrir le menu", "cette page vous a t elle aidé oui non", "faites passer le mot",
+    "partager courriel messagerie lien", "une lettre par mois pas plus", "saisissez votre adresse pour vous abonner",
+    "gérer les cookies", "enregistrer mes choix", "lire la politique des cookies", "tout accepter refuser choisir",
+    "accepter refuser", "volver arriba", "saltar al contenido", "abrir menú", "avisar de un error",
+    "le ha servido esta página sí no", "corra la voz", "compartir correo mensaje enlace",
+    "una carta al mes sin publicidad", "escriba su correo para suscribirse", "configurar cookies",
+    "guardar mi selección", "leer la política de cookies", "aceptar todo rechazar elegir", "aceptar rechazar",
+})
+FOOTER = frozenset({
+    "made with care in a small office", "terms of use privacy imprint", "registered trade mark of the publisher",
+    "all rights reserved", "no part of this site may be reproduced without permission", "accessibility statement",
+    "alle rechte vorbehalten", "nachdruck nur mit genehmigung", "impressum datenschutz agb", "tous droits réservés",
+    "reproduction interdite sans accord", "mentions légales confidentialité", "todos los derechos reservados",
+    "prohibida la reproducción sin permiso", "aviso legal privacidad",
+})
+NOTICE = frozenset({
+    "prices may change at any time without notice", "photos show examples and may differ from the delivered item",
+    "figures are rounded and were not audited",
+    "the information below is general and does not replace professional advice",
+    "this text was first printed in our members magazine", "test results depend on your own equipment and weather",
+    "zahlen sind gerundet", "die angaben sind allgemein und ersetzen keine beratung",
+    "preise können sich jederzeit ändern", "chiffres arrondis",
+    "ces informations sont générales et ne remplacent pas un conseil", "les prix peuvent changer à tout moment",
+    "cifras redondeadas", "los datos son generales y no sustituyen el consejo profesional",
+    "los precios pueden cambiar sin aviso",
+})
 RELATED = re.compile(
     r"(?:.{2,60}: )?(?:related articles|keep reading|you may also like|popular this week|recently added|more from this section|read next|ähnliche beiträge|mehr zum thema|das könnte sie auch interessieren|beliebt in dieser woche"
     r"|neu hinzugefügt|weiterlesen|articles liés|à lire aussi|dans la même rubrique|les plus lus de la semaine|derniers ajouts|vous aimerez aussi|artículos relacionados|también le puede interesar|lo más leído de la semana|en la misma sección|siga leyendo|añadido recientemente)"
 )
-AUTHOR = frozenset("about the author|über den autor|über die autorin|zur person|à propos de l auteur|l auteur|l autrice|sobre el autor|sobre la autora|acerca del autor".split("|"))
-ADVERT = frozenset(
-    """advertisement|sponsored content|our partner offers|ad continue reading below|anzeige|gesponserter inhalt|werbung weiter unten geht es weiter
-angebote unserer partner|unsere partner bieten|publicité|contenu sponsorisé|nos partenaires vous proposent|publicidad|contenido patrocinado
-ofertas de nuestros socios""".replace("\n", "|").split("|")
-)
-REPLY = frozenset("reply|antworten|répondre|responder".split("|"))
-TALK = frozenset(
-    """leave a reply|log in to join the discussion|antwort schreiben|zum mitreden bitte anmelden|laisser une réponse|connectez vous pour participer
-dejar una respuesta|inicie sesión para participar""".replace("\n", "|").split("|")
-)
-CONSENT = tuple(
-    """by staying on this page you agree to our use|we and our partners use cookies|this site stores small files on your device
-we would like to set optional cookies|your privacy matters to us|ihre privatsphäre ist uns wichtig|wir verwenden cookies|wir und unsere partner verwenden
-diese seite speichert|wir möchten|ce site enregistre des fichiers|nous utilisons des cookies|votre vie privée|usamos cookies
-este sitio guarda archivos|su privacidad nos importa|nos importa su privacidad""".replace("\n", "|").split("|")
-)
+AUTHOR = frozenset({
+    "about the author", "über den autor", "über die autorin", "zur person", "à propos de l auteur", "l auteur",
+    "l autrice", "sobre el autor", "sobre la autora", "acerca del autor",
+})
+ADVERT = frozenset({
+    "advertisement", "sponsored content", "our partner offers", "ad continue reading below", "anzeige",
+    "gesponserter inhalt", "werbung weiter unten geht es weiter", "angebote unserer partner", "unsere partner bieten",
+    "publicité", "contenu sponsorisé", "nos partenaires vous proposent", "publicidad", "contenido patrocinado",
+    "ofertas de nuestros socios",
+})
+REPLY = frozenset({
+    "reply", "antworten", "répondre", "responder",
+})
+TALK = frozenset({
+    "leave a reply", "log in to join the discussion", "antwort schreiben", "zum mitreden bitte anmelden",
+    "laisser une réponse", "connectez vous pour participer", "dejar una respuesta", "inicie sesión para participar",
+})
+CONSENT = (
+    "by staying on this page you agree to our use", "we and our partners use cookies",
+    "this site stores small files on your device", "we would like to set optional cookies",
+    "your privacy matters to us", "ihre privatsphäre ist uns wichtig", "wir verwenden cookies",
+    "wir und unsere partner verwenden", "diese seite speichert", "wir möchten", "ce site enregistre des fichiers",
+    "nous utilisons des cookies", "votre vie privée", "usamos cookies", "este sitio guarda archivos",
+    "su privacidad nos importa", "nos importa su privacidad",
+)
 
 _MARK = re.compile(r"^(?:[-*+•]\s+|\d{1,3}[.)]\s+|#{1,6}\s+|>\s+)")
 _LINK = re.compile(r"\[([^\]\n]*)\]\([^)\n]*\)")

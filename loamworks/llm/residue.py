@@ -35,14 +35,22 @@ PLACEHOLDER = re.compile(
     re.I,
 )
 FILLER = (
-    """heading goes here|your text goes here|placeholder copy|dummy content for layout purposes|sample paragraph, replace before launch|todo: real wording from the client|write something about your company
-this is a text block. click to edit it|insert a short description of the product|blindtext, bitte ersetzen|texte de remplissage|texto de relleno|asdf asdf|jkl jkl""".replace("\n", "|").split("|")
-)
-LATIN = frozenset(
-    """adipis adipiscing aliqua aliquip aliquo amet ametur anim animid aute autem cillum commodo commodum consectetur consector culpa culpam cupida cupidatat deserum deserunt dolor dolore dolorem duis duisque
-ea eiusmod eiusdem elit elitum enim esse est et eu ex excepta excepteur exerci exercitation fugiat id in incidit incididunt ipsum irure labora labore laboris laborum lorem magna magnam minim mollit nisi nisiat
-non nostrud nostrum nulla nullam occae occaecat officia pariat pariatur porta proident qui quis reprehenderit sed sedo sint sit sitam sunt tempor tempora ullamco ut velit velitum veniam viverra voluptate""".split()
-)
+    "heading goes here", "your text goes here", "placeholder copy", "dummy content for layout purposes",
+    "sample paragraph, replace before launch", "todo: real wording from the client",
+    "write something about your company", "this is a text block. click to edit it",
+    "insert a short description of the product", "blindtext, bitte ersetzen", "texte de remplissage",
+    "texto de relleno", "asdf asdf", "jkl jkl",
+)
+LATIN = frozenset({
+    "adipis", "adipiscing", "aliqua", "aliquip", "aliquo", "amet", "ametur", "anim", "animid", "aute", "autem",
+    "cillum", "commodo", "commodum", "consectetur", "consector", "culpa", "culpam", "cupida", "cupidatat", "deserum",
+    "deserunt", "dolor", "dolore", "dolorem", "duis", "duisque", "ea", "eiusmod", "eiusdem", "elit", "elitum", "enim",
+    "esse", "est", "et", "eu", "ex", "excepta", "excepteur", "exerci", "exercitation", "fugiat", "id", "in", "incidit",
+    "incididunt", "ipsum", "irure", "labora", "labore", "laboris", "laborum", "lorem", "magna", "magnam", "minim",
+    "mollit", "nisi", "nisiat", "non", "nostrud", "nostrum", "nulla", "nullam", "occae", "occaecat", "officia",
+    "pariat", "pariatur", "porta", "proident", "qui", "quis", "reprehenderit", "sed", "sedo", "sint", "sit", "sitam",
+    "sunt", "tempor", "tempora", "ullamco", "ut", "velit", "velitum", "veniam", "viverra", "voluptate",
+})
 EMPTY = re.compile(r"(?:(?:undefined|null|nan|none|\[object object\]|\(empty string\)|\(null\)|n/a)\s*)+", re.I)
 MESSAGES = (
     "javascript", "schiefgelaufen", "algo ha fallado", "inténtelo más tarde", "réessayez plus tard", "needs scripts to run",
