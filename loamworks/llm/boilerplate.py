@@ -103,6 +103,10 @@ CONSENT = (
     "su privacidad nos importa", "nos importa su privacidad",
 )
 
+#: The longest of these labels, and the characters at the start of a line that are read before the rest of it.
+LONGEST = max(len(x) for some in (MENU, SERVICE, FOOTER, NOTICE, AUTHOR, ADVERT, REPLY, TALK) for x in some)
+HEAD_CHARS = 300
+
 _MARK = re.compile(r"^(?:[-*+•]\s+|\d{1,3}[.)]\s+|#{1,6}\s+|>\s+)")
 _LINK = re.compile(r"\[([^\]\n]*)\]\([^)\n]*\)")
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -163,6 +167,12 @@ def letters(text: str) -> str:
     return " ".join(_LETTERS.findall(text.lower()))
 
 
+def _key(low: str) -> str:
+    """Letters of a line; of a long one those of its start, if that alone has more letters and words than any rule asks for."""
+    key = letters(low[:HEAD_CHARS])
+    return key if len(low) <= HEAD_CHARS or (len(key) > LONGEST and key.count(" ") > 12) else letters(low)
+
+
 def _judged(first: int, raw: str, gap: bool) -> Line:
     text, kind, body, evidence, role = _seen(raw)
     return Line(first, first, text, kind, body, evidence, role, gap)
@@ -177,7 +187,7 @@ def _seen(raw: str) -> tuple[str, str, int, int, str]:
     heading = bool(mark) and text[0] == "#"
     plain = plain.strip().strip("*_").strip()
     low = " ".join(plain.lower().split())
-    key = letters(low)
+    key = _key(low)
     words = key.count(" ") + 1 if key else 0
 
     def as_(kind: str, body: int, furniture: int, role: str = "") -> tuple[str, str, int, int, str]:
@@ -210,13 +220,13 @@ def _seen(raw: str) -> tuple[str, str, int, int, str]:
         return as_(kind, 0, 50, "menu")
     if not _TURNING.isdisjoint(plain) and _TURN.match(plain) and not ("«" in plain and "»" in plain):
         return as_(kind, 0, 80, "turn")
-    if _TEASER.search(plain):
+    if plain.endswith(("]", ")")) and _TEASER.search(plain):
         return as_("prose", 0, 90, "teaser")
     if words <= 8 and (_RESIDUE.search(plain) or (not mark or heading) and _ERROR.match(plain)):
         return as_(kind, 60, 0, "residue")
-    parts = [letters(x) for x in _SPLIT.split(plain) if x.strip()]
-    if len(parts) > 1 and max(x.count(" ") for x in parts) <= 2 and not plain.endswith((".", "?", "!", ":")):
-        known = sum(x in MENU or x in SERVICE for x in parts)
+    if not plain.endswith((".", "?", "!", ":")):
+        parts = [letters(x) for x in _SPLIT.split(plain) if x.strip()]
+        known = sum(x in MENU or x in SERVICE for x in parts) if len(parts) > 1 and max(x.count(" ") for x in parts) <= 2 else 0
         if known:
             return as_("item", 0, 40 + 20 * known, "menu")
     if _BOLD.match(raw.strip()):
