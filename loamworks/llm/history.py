@@ -135,9 +135,10 @@ class History:
     def _buckets(self, kind: str) -> int:
         return len(self._order.parts) if kind == "keys" else self.buckets
 
-    def _write(self, kind: str, rows: DataFrame) -> None:
+    def _write(self, kind: str, rows: DataFrame, tasks: int = FILES) -> None:
+        """Append rows; of so many tasks, each writes its buckets itself while that makes no more than FILES files."""
         columns = self.table(kind).columns
-        if rows.rdd.getNumPartitions() * self._buckets(kind) > FILES:
+        if tasks * self._buckets(kind) > FILES:
             rows = rows.repartition(self._buckets(kind), TABLES[kind][1])
         rows.select(*columns).write.insertInto(f"{self._name}_{kind}")
 
@@ -171,7 +172,7 @@ class History:
         read = read_texts(texts, self.k, self.folder, bits)
         if bits:
             self._fit(read, bits)
-        self._book(read, accepted.select("id"), hashes, lambda: self._write("keys", self._keys(texts, "old")))
+        self._book(read, accepted.select("id"), hashes, lambda: self._write("keys", self._keys(texts, "old"), texts.rdd.getNumPartitions()))
 
     def _keys(self, texts: DataFrame, batch: str) -> DataFrame:
         blocks = N.key_blocks(texts.withColumn("side", F.lit(N.NEW)), self._order, self.threshold, self.k)
@@ -235,7 +236,7 @@ class History:
         open_ = open_.join(shared, "id", "left_anti")
 
         # What is left open meets the accepted, and itself, in prefix keys.
-        self._write("keys", self._keys(N.texts_of(batch, open_), number))
+        self._write("keys", self._keys(N.texts_of(batch, open_), number), batch.select("text").rdd.getNumPartitions())
         mine = open_.where("class is not null")
         first = mine.groupBy("class").agg(F.min_by("id", "at").alias("id"), F.min("at").alias("at"))
         met = cut_lineage(self._meetings(number))

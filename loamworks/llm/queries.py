@@ -16,29 +16,35 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def wide(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table whose rows go through Python; one of fewer splits than cores is dealt out to all cores."""
+    rows, cores = table(spark, folder, name).select(*columns), spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    arrivals = table(spark, folder, "incoming_chunks").select("arrival_id", "batch_no", "text", "metadata.source_url")
-    kept = table(spark, folder, "chunks").select("chunk_no", "text", "metadata.content_hash")
+    arrivals = wide(spark, folder, "incoming_chunks", "arrival_id", "batch_no", "text", "metadata.source_url")
+    kept = wide(spark, folder, "chunks", "chunk_no", "text", "metadata.content_hash")
     return history.repeated_arrivals(arrivals, table(spark, folder, "indexed_chunks"), kept, threshold=0.6, k=3).select("arrival_id")
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return boilerplate.furniture_lines(table(spark, folder, "crawled_pages"))
+    return boilerplate.furniture_lines(wide(spark, folder, "crawled_pages", "page_id", "source_url", "markdown"))
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    texts = table(spark, folder, "chunks").select(F.col("chunk_no").alias("id"), "text")
+    texts = wide(spark, folder, "chunks", "chunk_no", "text").withColumnRenamed("chunk_no", "id")
     return near_duplicates.similar_pairs(texts, threshold=0.6, k=3).select(F.col("id_a").alias("chunk_no_a"), F.col("id_b").alias("chunk_no_b"))
 
 
 def p3_groups(spark: SparkSession, folder: str) -> DataFrame:
     """One row for each chunk with shingles: its class of equal sets, and the links of the class to other classes."""
-    texts = table(spark, folder, "chunks").select(F.col("chunk_no").alias("id"), "text")
+    texts = wide(spark, folder, "chunks", "chunk_no", "text").withColumnRenamed("chunk_no", "id")
     return near_duplicates.similar_groups(texts, threshold=0.6, k=3).select(F.col("id").alias("chunk_no"), "class", "links")
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    return residue.empty_pages(table(spark, folder, "crawled_pages"))
+    return residue.empty_pages(wide(spark, folder, "crawled_pages", "page_id", "source_url", "page_title", "markdown"))
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -46,20 +52,20 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return encoding.encode(table(spark, folder, "documents"))
+    return encoding.encode(wide(spark, folder, "documents", "doc_id", "text"))
 
 
 def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(encoding.token_counts(table(spark, folder, "documents")), capacity=2048)
+    return packing.pack(encoding.token_counts(wide(spark, folder, "documents", "doc_id", "text")), capacity=2048)
 
 
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
-    found = language.mislabelled(table(spark, folder, "documents"), table(spark, folder, "lang_samples"), table(spark, folder, "lang_notations"))
+    found = language.mislabelled(wide(spark, folder, "documents", "doc_id", "text", "lang"), table(spark, folder, "lang_samples"), table(spark, folder, "lang_notations"))
     return found.select("doc_id", "seg_no", "lang")
 
 
 def p8_confidence(spark: SparkSession, folder: str) -> DataFrame:
-    return language.language_stretches(table(spark, folder, "documents"), table(spark, folder, "lang_samples"))
+    return language.language_stretches(wide(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "lang_samples"))
 
 
 def queries() -> dict[str, Query]:
