@@ -274,8 +274,23 @@ def read_lines(markdown: str) -> list[Line]:
     return out
 
 
-def edges(lines: list[Line]) -> list[tuple[int, int, int]]:
-    """(node, node, capacity): neighbours, lists, and the lines that hang on a section's head."""
+def site_heads(lines: list[Line], repeated: frozenset[int]) -> frozenset[int]:
+    """Nodes that head a list of titles in words that their site repeats, as those over related pages do, whatever the words.
+
+    A head is no sentence, and what follows it is neither a sentence nor repeated: the same heading over prose stays as it is.
+    """
+    out = []
+    for i in range(len(lines) - 1):
+        x, y = lines[i], lines[i + 1]
+        if x.first not in repeated or x.role or x.kind in ("code", "table") or x.body >= (SENTENCE + 1 if x.kind == "heading" else SENTENCE):
+            continue
+        if y.first not in repeated and y.role in ("", "bold", "teaser") and y.kind in ("prose", "item", "short") and (y.role or y.body < SENTENCE):
+            out.append(i)
+    return frozenset(out)
+
+
+def edges(lines: list[Line], heads: frozenset[int] = frozenset()) -> list[tuple[int, int, int]]:
+    """(node, node, capacity): neighbours, lists, and the lines that hang on a section's head; heads: those that the site tells."""
     out: list[tuple[int, int, int]] = []
     for i in range(len(lines) - 1):
         a, b = lines[i], lines[i + 1]
@@ -293,7 +308,7 @@ def edges(lines: list[Line]) -> list[tuple[int, int, int]]:
     n = len(lines)
     for i, head in enumerate(lines):
         j = i + 1
-        if head.role == "related":
+        if head.role == "related" or i in heads:
             seen = 0
             while j < n and not (lines[j].role and lines[j].role not in ("bold", "teaser", "turn")) and lines[j].kind not in ("heading", "code", "table"):
                 x = lines[j]
@@ -392,15 +407,17 @@ def labelled(markdown: str | None, repeated: frozenset[int] = frozenset()) -> li
     if not lines:
         return []
     supply = [x.body - x.furniture for x in lines]
-    with_site = [s - REPEATED if x.first in repeated and not x.role and x.kind not in ("heading", "code", "table") else s for x, s in zip(lines, supply)]
-    found = _cut(lines, with_site)
+    heads = site_heads(lines, repeated)
+    told = lambda i, x: i in heads or (x.first in repeated and not x.role and x.kind not in ("heading", "code", "table"))
+    with_site = [s - REPEATED if told(i, x) else s for i, (x, s) in enumerate(zip(lines, supply))]
+    found = _cut(lines, with_site, heads)
     return found if with_site == supply or any(body for x, body in found if x.kind != "heading") else _cut(lines, supply)
 
 
-def _cut(lines: list[Line], supply: list[int]) -> list[tuple[Line, bool]]:
+def _cut(lines: list[Line], supply: list[int], heads: frozenset[int] = frozenset()) -> list[tuple[Line, bool]]:
     if all(x >= 0 for x in supply):
         return [(x, True) for x in lines]
-    links, supply = edges(lines), list(supply)
+    links, supply = edges(lines, heads), list(supply)
     for i, _, price in links:
         if lines[i].role == "says" and price > HANG:
             supply[i] -= SENTENCE  # however long the comment is, its head outweighs it

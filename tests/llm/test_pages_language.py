@@ -78,6 +78,30 @@ def test_furniture_tables(spark):
     assert B.furniture_lines(df.limit(0)).count() == 0
 
 
+def foreign_page(i):
+    """A page of a site in a language that no list of labels knows."""
+    head = f"Siirry sisältöön\n\nEtusivu\n\nAsetukset\n\n# Otsikko numero {'abcdefgh'[i]}"
+    body = f"Tämä teksti kertoo asiasta {'abcdefgh'[i]} ja sen hoidosta.\n\n## Johdanto\n\nJohdannossa sanotaan {'abcdefgh'[i]} toisella tavalla."
+    return f"{head}\n\n{body}\n\n## Lue seuraavaksi\n- Vanha {'abcdefgh'[i]} talo meren rannalla\n- Uusi {'abcdefgh'[i]} tie metsän läpi\n\nKaikki oikeudet pidätetään"
+
+
+def test_furniture_of_an_unknown_language(spark):
+    df = spark.createDataFrame([(i, f"https://sivu.test/{i}", foreign_page(i)) for i in range(8)], "page_id long, source_url string, markdown string")
+    body = {r.page_id: r.markdown for r in B.main_body(df).collect()}
+    for i in range(8):
+        left = [x for x in body[i].split("\n") if x]
+        assert left == [x for x in foreign_page(i).split("\n") if x][3:7]
+
+
+def test_heads_told_by_the_site():
+    lines = B.read_lines(foreign_page(0))
+    at = {x.text: i for i, x in enumerate(lines)}
+    every = frozenset(x.first for x in lines if x.text in ("Johdanto", "Lue seuraavaksi", "Etusivu", "Asetukset"))
+    assert B.site_heads(lines, every) == {at["Lue seuraavaksi"]}
+    assert B.site_heads(lines, frozenset()) == frozenset() == B.site_heads([], frozenset({1}))
+    assert B.site_heads(lines[-1:], frozenset({lines[-1].first})) == frozenset()
+
+
 @pytest.mark.parametrize(
     ("title", "text", "case"),
     [
